@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from chronicell.llm.byte_bpe import op2_byte_bpe
 from chronicell.llm.line_dedup import OP7_SQL, op7_line_dedup
 from chronicell.llm.quality_rules import OP5_SQL, op5_quality_rules
 from chronicell.llm.sharding import OP6_SQL, op6_sharding
 
 QUERIES = {
+    "op2_byte_bpe": op2_byte_bpe,
     "op5_quality_rules": op5_quality_rules,
     "op6_sharding": op6_sharding,
     "op7_line_dedup": op7_line_dedup,
