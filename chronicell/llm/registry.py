@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from chronicell.llm.byte_bpe import op2_byte_bpe
+from chronicell.llm.decontaminate import OP8_SQL, op8_decontaminate
 from chronicell.llm.line_dedup import OP7_SQL, op7_line_dedup
 from chronicell.llm.quality_rules import OP5_SQL, op5_quality_rules
 from chronicell.llm.sharding import OP6_SQL, op6_sharding
@@ -12,9 +13,11 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_sharding": op6_sharding,
     "op7_line_dedup": op7_line_dedup,
+    "op8_decontaminate": op8_decontaminate,
 }
 ORACLE_SQL = {
     "op5_quality_rules": OP5_SQL,
     "op6_sharding": OP6_SQL,
     "op7_line_dedup": OP7_SQL,
+    "op8_decontaminate": OP8_SQL,
 }
