@@ -28,15 +28,18 @@ BOILERPLATE = (
     "skip to content",
     "click here to subscribe",
 )
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def _without(col: Column, chars: str) -> Column:
-    return F.translate(col, chars, "")
+    """Without some ASCII characters: a byte search for each is far cheaper than a look-up for each code point."""
+    for c in chars:
+        col = F.replace(col, F.lit(c), F.lit(""))
+    return col
 
 
 def _count(col: Column, chars: str) -> Column:
-    return F.length(col) - F.length(_without(col, chars))
+    return F.octet_length(col) - F.octet_length(_without(col, chars))
 
 
 def _words(col: Column) -> Column:
@@ -45,15 +48,15 @@ def _words(col: Column) -> Column:
 
 
 def line_fails(line: Column) -> Column:
-    """Navigation, punctuation, shouting and boilerplate rules for one line that has a word."""
-    words, pipes, bangs = _words(line), _count(line, "|"), _count(line, "!")
-    low = F.translate(line, UPPER, LOWER)
-    navigation = ((pipes >= 2) & (pipes * 4 >= words)) | ((words <= 3) & (_count(line, ".!?:;,") == 0))
-    punctuation = (_count(line, "#*$%&<>") + bangs) * 3 > words
-    shouting = (words >= 5) & (_count(line, UPPER) * 2 > F.length(line))
+    """Navigation, punctuation, shouting and boilerplate rules for one line that has a word; the cheap tests come first."""
+    words, pipes = _words(line), _count(line, "|")
+    navigation = ((pipes >= 2) & (pipes * 4 >= words)) | (~line.rlike("[.!?:;,]") & (words <= 3))
+    punctuation = line.rlike("[#*$%&<>!]") & (_count(line, "#*$%&<>!") * 3 > words)
+    upper = F.length(line) - F.length(F.regexp_replace(line, "[A-Z]+", ""))
+    shouting = (upper * 2 > F.length(line)) & (words >= 5)
     boilerplate = F.lit(False)
     for phrase in BOILERPLATE:
-        boilerplate = boilerplate | low.contains(phrase)
+        boilerplate = boilerplate | F.lower(line).contains(phrase)
     return navigation | punctuation | shouting | boilerplate
 
 
@@ -67,16 +70,16 @@ def judge_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
     Lines without a word pass and stay where they are. A null text stays null and loses nothing; a text without words
     loses nothing; the input's other columns pass through (its columns of the four new names are replaced).
     """
-    lines = F.split(text_or_empty(text_col), "\n", -1)
-    out = docs.withColumn("_kept_lines", F.filter(lines, lambda x: ~_has_word(x) | ~line_fails(x)))
+    out = docs.withColumn("_lines", F.split(text_or_empty(text_col), "\n", -1))
+    out = out.withColumn("_kept_lines", F.filter("_lines", lambda x: ~_has_word(x) | ~line_fails(x)))
     size = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda n, x: n + F.when(_has_word(x), F.length(x)).otherwise(0))
     out = out.withColumns(
         {
             "clean_text": F.when(F.col(text_col).isNotNull(), F.array_join("_kept_lines", "\n")),
-            "n_chars_lines": size(F.split(text_or_empty(text_col), "\n", -1)),
-            "n_chars_kept": size(F.col("_kept_lines")),
+            "n_chars_lines": size("_lines"),
+            "n_chars_kept": size("_kept_lines"),
         }
-    ).drop("_kept_lines")
+    ).drop("_kept_lines", "_lines")
     lost = F.col("n_chars_lines") - F.col("n_chars_kept")
     return out.withColumn("lost_too_much", lost * 100 > F.col("n_chars_lines") * MAX_LOST_PERCENT)
 
@@ -89,34 +92,37 @@ def base_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     where the repeats are. Null and empty texts: all counts 0, base_failed true.
     """
     text = text_or_empty(text_col)
-    out = docs.withColumn("_words", F.filter(F.split(text, r"[\x20\x09-\x0D]+", -1), lambda w: w != ""))
+    inner = F.trim(text, F.lit(SPACE))
+    out = docs.withColumn("_words", F.when(inner != "", F.split(inner, r"[\x20\x09-\x0D]+", -1)).otherwise(F.array().cast("array<string>")))
     out = out.withColumn("_n", F.size("_words"))
-    # Elements outside a lambda's own array are taken by position from a column made one projection earlier.
-    out = out.withColumn("_grams", F.expr("if(_n < 3, array(), transform(sequence(0, _n - 3), i -> xxhash64(_words[i], _words[i + 1], _words[i + 2])))"))
-    out = out.withColumn("_sorted", F.expr("if(size(array_distinct(_grams)) < size(_grams), array_sort(transform(_grams, (h, i) -> struct(h AS h, i AS i))), NULL)"))
-    out = out.withColumn(
-        "_starts",
-        F.expr("array_sort(transform(filter(_sorted, (x, k) -> (k > 0 AND _sorted[k - 1].h = x.h) OR (k < size(_sorted) - 1 AND _sorted[k + 1].h = x.h)), x -> x.i))"),
-    )
+    # Neighbours meet by zipping shifted slices: a lambda that reached outside its own arrays would be evaluated anew
+    # for every element once the optimizer has merged these projections.
+    shifted = ", ".join(f"slice(_words, {k}, _n - 2)" for k in (1, 2, 3))
+    out = out.withColumn("_grams", F.expr(f"if(_n < 3, array(), transform(arrays_zip({shifted}), z -> xxhash64(z.`0`, z.`1`, z.`2`)))"))
+    out = out.withColumn("_sorted", F.expr("if(size(array_distinct(_grams)) < size(_grams), sort_array(transform(_grams, (h, i) -> struct(h AS h, i AS i))), NULL)"))
+    pairs = "zip_with(slice(_sorted, 1, size(_sorted) - 1), slice(_sorted, 2, size(_sorted) - 1), (x, y) -> if(x.h = y.h, array(x.i, y.i), array()))"
+    out = out.withColumn("_starts", F.expr(f"sort_array(flatten(filter({pairs}, x -> size(x) > 0)))"))
     covered = F.expr("aggregate(_starts, struct(-3 AS last, 0 AS n), (a, i) -> struct(i AS last, a.n + least(3, i - a.last) AS n), a -> a.n)")
-    lines = F.filter(F.split(text, "\n", -1), _has_word)
+    out = out.withColumn("_lines", F.filter(F.split(text, "\n", -1), _has_word))
     out = out.withColumns(
         {
             "n_words": F.col("_n").cast("long"),
             "word_chars": F.length(_without(text, SPACE)).cast("long"),
             "n_symbols": _count(text, "#*$%&|<>").cast("long"),
-            "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
+            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
             "n_repeat_words": F.coalesce(covered, F.lit(0)).cast("long"),
         }
-    ).drop("_words", "_n", "_grams", "_sorted", "_starts")
+    ).drop("_words", "_n", "_grams", "_sorted", "_starts", "_lines")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return out.withColumn("base_failed", failed)
 
 
 def clean_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Both judgements: base_counts, judge_lines and kept (passes both). Rows are never dropped here."""
-    judged = judge_lines(base_counts(docs, text_col), text_col)
-    return judged.withColumn("kept", ~F.col("base_failed") & ~F.col("lost_too_much"))
+    judged = judge_lines(base_counts(docs, text_col), text_col).withColumn("_row", F.monotonically_increasing_id())
+    # The row number (never negative) keeps a later filter on kept above these projections; pushed below them, it would
+    # evaluate every array expression once for each mention.
+    return judged.withColumn("kept", ~F.col("base_failed") & ~F.col("lost_too_much") & (F.col("_row") >= 0)).drop("_row")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +138,7 @@ def _sql_count(x: str, chars: str) -> str:
 _SP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _TRIM = f"trim(x, {_SP})"
 _W = f"(length({_TRIM}) - length(translate({_TRIM}, {_SP}, '')) + 1)"
-_LOW = f"translate(x, '{UPPER}', '{LOWER}')"
+_LOW = "lower(x)"
 _FAILS = f"""(({_sql_count("x", "|")} >= 2 AND {_sql_count("x", "|")} * 4 >= {_W}) OR ({_W} <= 3 AND {_sql_count("x", ".!?:;,")} = 0)
   OR ({_sql_count("x", "#*$%&<>")} + {_sql_count("x", "!")}) * 3 > {_W}
   OR ({_W} >= 5 AND {_sql_count("x", UPPER)} * 2 > length(x))
