@@ -6,10 +6,12 @@ from chronicell.llm.byte_bpe import op2_byte_bpe
 from chronicell.llm.decontaminate import OP8_SQL, op8_decontaminate
 from chronicell.llm.line_dedup import OP7_SQL, op7_line_dedup
 from chronicell.llm.near_dedup import op4_near_dedup
+from chronicell.llm.quality_classifier import op1_quality_classifier
 from chronicell.llm.quality_rules import OP5_SQL, op5_quality_rules
 from chronicell.llm.sharding import OP6_SQL, op6_sharding
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_byte_bpe": op2_byte_bpe,
     "op4_near_dedup": op4_near_dedup,
     "op5_quality_rules": op5_quality_rules,
