@@ -9,10 +9,12 @@ from chronicell.llm.near_dedup import op4_near_dedup
 from chronicell.llm.quality_classifier import op1_quality_classifier
 from chronicell.llm.quality_rules import OP5_SQL, op5_quality_rules
 from chronicell.llm.sharding import OP6_SQL, op6_sharding
+from chronicell.llm.url_filter import op3_url_filter
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_url_filter": op3_url_filter,
     "op4_near_dedup": op4_near_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_sharding": op6_sharding,
