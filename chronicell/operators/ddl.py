@@ -139,7 +139,9 @@ def _column(text: str) -> ColumnInfo:
     default = re.search(r"(?i)default\s+('(?:[^']|'')*'|[^\s,]+)", rest)
     value = default[1].strip("'") if default and default[1].upper() != "NULL" else None
     primary = bool(re.search(r"(?i)primary\s+key", rest))
-    return ColumnInfo(m[1], m[2].lower() if "(" not in m[2] else m[2].split("(")[0].lower() + "(" + m[2].split("(", 1)[1], not (primary or re.search(r"(?i)not\s+null", rest)), "PRI" if primary else "", value)
+    # Lower case, but for what is quoted: members of enum and set types keep theirs.
+    kind = re.sub(r"'(?:[^']|'')*'|[^']+", lambda x: x[0] if x[0].startswith("'") else x[0].lower(), m[2])
+    return ColumnInfo(m[1], kind, not (primary or re.search(r"(?i)not\s+null", rest)), "PRI" if primary else "", value)
 
 
 def _columns(body: str) -> tuple[ColumnInfo, ...]:
