@@ -196,11 +196,11 @@ _KEY = f"translate(trim(line, {_SP}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijk
 def line_dedup_ctes(docs: str) -> str:
     """CTEs up to deduped(rid, n_lines, n_dropped, kept): a row for each row of ``docs`` numbered by rid."""
     return f"""
-numbered AS (SELECT row_number() OVER () AS rid, * FROM {docs}),
+numbered AS (SELECT row_number() OVER () AS rid, doc_id, text FROM {docs}),
 lines AS (SELECT rid, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM numbered),
 keyed AS (SELECT *, {_KEY} AS k FROM lines),
-common AS (SELECT k, max(doc_id) AS largest FROM keyed WHERE length(k) >= {MIN_CHARS} GROUP BY k HAVING count(DISTINCT doc_id) >= {MIN_DOCS}),
-deduped AS (SELECT rid, count(*)::BIGINT AS n_lines, count(*) FILTER (largest > doc_id)::BIGINT AS n_dropped,
+common AS (SELECT k, max(doc_id) AS largest FROM keyed WHERE length(k) >= {MIN_CHARS} GROUP BY k HAVING count(DISTINCT doc_id) + max((doc_id IS NULL)::INT) >= {MIN_DOCS}),
+deduped AS (SELECT rid, count(*)::BIGINT AS n_lines, count(*) FILTER (largest > doc_id OR (doc_id IS NULL AND largest IS NOT NULL))::BIGINT AS n_dropped,
   coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (largest IS NULL OR largest <= doc_id), '') AS kept
   FROM keyed LEFT JOIN common USING (k) GROUP BY rid)"""
 

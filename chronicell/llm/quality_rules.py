@@ -145,7 +145,7 @@ _FAILS = f"""(({_sql_count("x", "|")} >= 2 AND {_sql_count("x", "|")} * 4 >= {_W
   OR {" OR ".join(f"contains({_LOW}, '{p}')" for p in BOILERPLATE)})"""
 #: One row for each document: t (its text, null as empty), the counts, and its lines with a word.
 RULES_CTE = f"""
-texts AS (SELECT row_number() OVER () AS rid, *, coalesce(text, '') AS t FROM {{docs}}),
+texts AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM {{docs}}),
 lined AS (SELECT *, list_filter(string_split(t, chr(10)), lambda x: {_TRIM} <> '') AS wl,
     list_filter(string_split(t, chr(10)), lambda x: {_TRIM} = '' OR NOT {_FAILS}) AS kl,
     regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w FROM texts),
