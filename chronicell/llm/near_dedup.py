@@ -14,56 +14,68 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronicell.llm.base import materialize, table, text_or_empty
+from chronicell.llm.base import give_back_memory, materialize, table, text_or_empty
 from chronicell.llm.hashing import mix, shingle_hashes
 
 WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS = 14, 3
 MIN_SHARE = 0.1
-#: Buckets of at most so many texts test every pair that is not yet in one class; larger ones test leaders (below).
-SMALL_BUCKET, LEADERS = 32, 8
+#: Groups of at most so many texts compare every pair that is not in one class; larger ones go on as told below, in
+#: blocks of so many texts.
+SMALL_BUCKET, BLOCK = 32, 1000
+#: In the prefix filter, tokens in at least this share of the sets come last.
+OFTEN = 0.005
+_HELD = 500_000  # shingles that a worker holds before it reports
 _SLICE = 1 << 19  # bytes of text that are hashed at a time: the arrays then stay in a core's cache
 _U = np.uint64
 
 
-def _sliced(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+def _sliced(texts: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(first row, row after the last, lower-cased texts) of slices; only one slice is copied at a time."""
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
     lo = size = 0
-    for k, t in enumerate(texts):
-        if size and size + len(t) > _SLICE:
-            yield lo, k
+    for k in range(len(texts) + 1):
+        if k == len(texts) or (size and size + sizes[k] > _SLICE):
+            if k > lo:
+                yield lo, k, [t.lower().encode() for t in texts.slice(lo, k - lo).to_pylist()]
             lo, size = k, 0
-        size += len(t)
-    if texts:
-        yield lo, len(texts)
+        if k < len(texts):
+            size += int(sizes[k])
 
 
-def _lowered(batch: pa.RecordBatch) -> list[bytes]:
-    return [t.lower().encode() for t in batch.column("text").to_pylist()]
+# --- document frequencies of what much of the corpus shares
 
 
-# --- document frequencies of what much of the corpus shares
+def _reported(parts: list, share: float) -> pa.RecordBatch:
+    h, n = (np.concatenate(x) for x in zip(*parts))
+    found, times = np.unique(h, return_counts=True)
+    often = found[times >= share / 2 * len(n)]
+    hit = np.isin(h, often)
+    pairs = np.unique(np.stack([h[hit], np.repeat(np.arange(len(n)), n)[hit].astype(_U)], 1), axis=0)
+    value, df = np.unique(pairs[:, 0], return_counts=True)
+    keep = df >= share / 2 * len(n)
+    return pa.RecordBatch.from_arrays([pa.array(value[keep].view(np.int64)), pa.array(df[keep])], ["h", "df"])
 
 
 def _local_candidates(share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list = []
+        held = 0
         for batch in batches:
-            texts = _lowered(batch)
-            parts = [shingle_hashes(texts[lo:hi], WIDTH) for lo, hi in _sliced(texts)]
-            if not parts:
-                continue
-            h, n = (np.concatenate(x) for x in zip(*parts))
-            found, times = np.unique(h, return_counts=True)
-            often = found[times >= share / 2 * len(texts)]
-            doc = np.repeat(np.arange(len(texts)), n)
-            hit = np.isin(h, often)
-            pairs = np.unique(np.stack([h[hit], doc[hit].astype(_U)], 1), axis=0)
-            value, df = np.unique(pairs[:, 0], return_counts=True)
-            keep = df >= share / 2 * len(texts)
-            yield pa.RecordBatch.from_arrays([pa.array(value[keep].view(np.int64)), pa.array(df[keep])], ["h", "df"])
+            for _, _, texts in _sliced(batch.column("text")):
+                parts.append(shingle_hashes(texts, WIDTH))
+                held += len(parts[-1][0])
+                if held >= _HELD:
+                    yield _reported(parts, share)
+                    parts, held = [], 0
+        if parts:
+            yield _reported(parts, share)
+        give_back_memory()
 
     return run
 
@@ -73,9 +85,8 @@ def _count_candidates(candidates):
         wanted = candidates.value
         total = np.zeros(len(wanted), np.int64)
         for batch in batches:
-            texts = _lowered(batch)
-            for lo, hi in _sliced(texts):
-                h, n = shingle_hashes(texts[lo:hi], WIDTH)
+            for lo, hi, texts in _sliced(batch.column("text")):
+                h, n = shingle_hashes(texts, WIDTH)
                 at = np.searchsorted(wanted, h)
                 hit = wanted[np.minimum(at, len(wanted) - 1)] == h
                 doc = np.repeat(np.arange(hi - lo), n)[hit]
@@ -90,7 +101,7 @@ def _count_candidates(candidates):
 def common_idf(texts: DataFrame, share: float = MIN_SHARE) -> tuple[np.ndarray, np.ndarray, float]:
     """(hashes, sorted; their idf; the idf of all other shingles). Exact, in two passes.
 
-    A batch reports the shingles in at least share / 2 of its documents. A shingle in at least ``share`` of all
+    A run of documents reports the shingles in at least share / 2 of them. A shingle in at least ``share`` of all
     documents misses less than half of its count that way, so its reports add up to at least share / 2 of all; at most
     2 x (mean shingles) / share shingles do, which bounds what the driver gets. Those are then counted exactly.
     """
@@ -192,11 +203,10 @@ def _signatures(idf, bands: int, rows: int):
             first: dict[bytes, int] = {}
             own = [first.setdefault(x, len(first)) for x in nodes]  # equal texts of a batch are sampled once
             pick = sorted({x: k for k, x in reversed(list(enumerate(own)))}.values())
-            texts = [t.lower().encode() for t in batch.column("text").take(pa.array(pick)).to_pylist()]
             keys: list = []
             packed: list[bytes] = []
-            for lo, hi in _sliced(texts):
-                h, n = shingle_hashes(texts[lo:hi], WIDTH)
+            for lo, hi, texts in _sliced(batch.column("text").take(pa.array(pick, pa.int32()))):
+                h, n = shingle_hashes(texts, WIDTH)
                 sets = [np.unique(x, return_counts=True) for x in np.split(h, np.cumsum(n)[:-1])]
                 h, tf = (np.concatenate(x) for x in zip(*sets))
                 counts = np.array([len(x) for x, _ in sets])
@@ -221,6 +231,7 @@ def _signatures(idf, bands: int, rows: int):
             once = set()
             blobs = [None if x in once or once.add(x) else packed[x] for x in own]
             yield pa.RecordBatch.from_arrays([ids, batch.column("node"), pa.array([keys[x] if b is not None else None for x, b in zip(own, blobs)], pa.list_(pa.int64())), pa.array(blobs, pa.binary())], ["doc_id", "node", "keys", "packed"])
+        give_back_memory()
 
     return run
 
@@ -229,15 +240,97 @@ def _verify(usual: float, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, last, left = [], None, None
-            for a, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "packed_a", "packed_b"))):
+            for a, x, y in zip(*(batch.column(c) for c in ("a", "packed_a", "packed_b"))):  # one row's sets at a time
                 if a != last:
-                    last, left = a, unpack(x, usual)
-                keep.append(weighted_jaccard(left, unpack(y, usual)) >= threshold)
+                    last, left = a, unpack(x.as_py(), usual)
+                keep.append(weighted_jaccard(left, unpack(y.as_py(), usual)) >= threshold)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        give_back_memory()
+
+    return run
+
+
+# --- exact search among the texts of large mixed buckets
+
+
+def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            tokens = np.concatenate([unpack(x, 1.0)[0] for x in batch.column("packed").to_pylist()])
+            token, n = np.unique(tokens, return_counts=True)
+            keep = n >= max(4, OFTEN * batch.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(token[keep].astype(np.int64)), pa.array(n[keep])], ["key", "n"])
+
+
+def prefix_tokens(tokens: np.ndarray, weight: np.ndarray, often: np.ndarray, times: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The first tokens of a set, rare ones first, after which less than ``threshold`` of its weight is left; with each
+    the weight of the set from there on.
+
+    All sets use one order (how often the token is known to occur, then its hash). Two sets whose prefixes have no token
+    in common share less than ``threshold`` of the weight of one of them, hence are less similar than that.
+    """
+    count = np.zeros(len(tokens), np.int64)
+    if len(often):
+        at = np.minimum(np.searchsorted(often, tokens), len(often) - 1)
+        hit = often[at] == tokens
+        count[hit] = times[at[hit]]
+    order = np.lexsort((tokens, count))
+    left = float(weight.sum()) - np.cumsum(weight[order], dtype=np.float64)
+    n = min(len(order), int(np.count_nonzero(left >= threshold * float(weight.sum()) - 1e-4)) + 1)
+    return tokens[order[:n]], left[:n] + weight[order[:n]]
+
+
+def _prefixes(often, usual: float, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [prefix_tokens(*unpack(x, usual), *often.value, threshold) for x in batch.column("packed").to_pylist()]
+            take = pa.array(np.repeat(np.arange(len(found)), [len(x) for x, _ in found]), pa.int32())
+            tokens, left = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0), np.zeros(0))
+            shared = np.minimum(left, batch.column("shared").take(take).to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(tokens.astype(np.int64)), batch.column("node").take(take), batch.column("total").take(take), pa.array(shared)], ["key", "node", "total", "shared"])
+
+    return run
+
+
+def _weights(usual: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [unpack(x, usual) for x in batch.column("packed").to_pylist()]
+            take = pa.array(np.repeat(np.arange(len(found)), [len(x) for x, _ in found]), pa.int32())
+            tokens, weight = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0), np.zeros(0))
+            yield pa.RecordBatch.from_arrays([pa.array(tokens.astype(np.int64)), batch.column("node").take(take), pa.array(weight.astype(np.float64))], ["key", "node", "w"])
 
     return run
 
 
+def prefix_groups(sets: DataFrame, usual: float, threshold: float) -> DataFrame:
+    """(key, node, total, shared, n): the sets (node, packed) by the tokens of their prefixes, as far as they can be
+    similar to another set of their group; total is a set's weight, shared the most that it can have in common with a
+    set that it meets at this token first: the weight from this token on, or that of its tokens that other sets have too.
+
+    The order of tokens only has to be one order, so the frequent ones may be found batch by batch; with those that
+    add up to OFTEN / 2 of all sets, the driver holds at most 2 x (mean tokens) / OFTEN of them. Two sets have no more in
+    common than the smaller of their shared weights, which rules out most sets that differ by words of their own.
+    """
+    n = sets.count()
+    rows = sets.mapInArrow(_often, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= OFTEN / 2 * n).collect()
+    rows = sorted((r.key, r.n) for r in rows)
+    often = sets.sparkSession.sparkContext.broadcast((np.array([k for k, _ in rows], np.uint32), np.array([m for _, m in rows], np.int64)))
+    weights = materialize(sets.mapInArrow(_weights(usual), "key bigint, node binary, w double"), "near-weights")
+    alone = weights.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.min("w").alias("w")).filter("n = 1").groupBy("node").agg(F.sum("w").alias("alone"))
+    total = weights.groupBy("node").agg(F.sum("w").alias("total")).join(alone, "node", "left")
+    stats = total.select("node", "total", (F.col("total") - F.coalesce("alone", F.lit(0.0))).alias("shared"))
+    weighed = sets.select("node", "packed").join(materialize(stats, "near-stats"), "node")
+    tokens = materialize(weighed.mapInArrow(_prefixes(often, usual, threshold), "key bigint, node binary, total double, shared double"), "near-prefixes")
+    least = tokens.groupBy("key").agg(F.min("total").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    # A similar set weighs at least threshold times as much, and at least as much as the lightest of the group.
+    other = F.greatest("least", threshold * F.col("total"))
+    able = tokens.join(least, "key").filter((1 + threshold) * F.col("shared") >= threshold * (F.col("total") + other) - 1e-3)
+    able = materialize(able.drop("least"), "near-able")
+    sizes = able.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    return materialize(able.join(sizes, "key"), "near-prefix-groups")
+
+
 # --- classes
 
 
@@ -259,16 +352,68 @@ def connected_components(links: DataFrame, label: str) -> DataFrame:
         roots = moved.select("node", "root")
 
 
+def _mixed(groups: DataFrame, roots: DataFrame, label: str) -> DataFrame:
+    """The groups that hold several classes, with the root of each text."""
+    classed = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = classed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
+    return materialize(classed.join(mixed, "key"), label)
+
+
+def _pairs(left: DataFrame, right: DataFrame, condition: str, threshold: float = 0.0) -> DataFrame:
+    """Different pairs a < b of texts of one group and of different classes that can be similar, where weights tell."""
+    cols = [c for c in ("root", "total", "shared") if c in left.columns]
+    a = left.select("key", F.col("node").alias("a"), *[F.col(c).alias(f"{c}_a") for c in cols])
+    b = right.select("key", F.col("node").alias("b"), *[F.col(c).alias(f"{c}_b") for c in cols])
+    if threshold:
+        condition += f" AND {1 + threshold} * least(shared_a, shared_b) >= {threshold} * (total_a + total_b) - 1e-3"
+    both = a.join(b, "key").filter(condition)
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _compare(usual: float, threshold: float):
+    def run(query: pa.Table, block: pa.Table) -> pa.Table:
+        names, roots = block.column("node").to_pylist(), np.array(block.column("root").to_pylist(), object)
+        sets = [unpack(x, usual) for x in block.column("packed").to_pylist()]
+        total, shared = block.column("total").to_numpy(), block.column("shared").to_numpy()
+        out = []
+        for q in query.to_pylist():
+            own, linked = unpack(q["packed"], usual), {q["root"]}
+            able = (1 + threshold) * np.minimum(shared, q["shared"]) >= threshold * (total + q["total"]) - 1e-3
+            for k in np.flatnonzero(able).tolist():
+                if roots[k] not in linked and weighted_jaccard(own, sets[k]) >= threshold:
+                    out.append((q["node"], names[k]))
+                    linked.add(roots[k])
+        return pa.table([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())], ["a", "b"])
+
+    return run
+
+
+def _blockwise(open_: DataFrame, sets: DataFrame, usual: float, threshold: float) -> DataFrame:
+    """Links between classes of large groups: the texts outside of a group's largest class, as queries, against all of
+    the group in blocks of BLOCK. Every pair of different classes has a side outside of the largest; one link to a class
+    is enough, so a query skips the rest of a class that it is linked to. Only links come out."""
+    members = open_.groupBy("key", "root").agg(F.count("*").alias("members"))
+    largest = members.groupBy("key").agg(F.max(F.struct("members", "root")).alias("_l")).select("key", F.col("_l.root").alias("largest"))
+    full = open_.join(largest, "key").join(sets, "node").withColumn("_blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    full = materialize(full, "near-open-sets")
+    cols = ["key", "block", "node", "root", "total", "shared", "packed"]
+    queries = full.filter("root <> largest").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select(*cols)
+    blocks = full.withColumn("block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")).select(*cols)
+    return queries.groupBy("key", "block").cogroup(blocks.groupBy("key", "block")).applyInArrow(_compare(usual, threshold), "a binary, b binary").distinct()
+
+
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row for each input row: doc_id, node (md5 of its text), class_id (smallest doc_id of its class).
 
     Candidates: ``bands`` bands of ``rows`` samples; two texts of similarity 0.8 share a band but for 1 case in 20,000.
-    Links: in every bucket the smallest text is compared with all others. While a bucket still holds several classes,
-    it goes on: a bucket of at most SMALL_BUCKET texts compares all pairs that are not in one class; a larger one
-    makes LEADERS more of its texts, those of the smallest classes first, leaders that are compared with all texts of
-    other classes, until all its texts are in one class or have led. So no pair of texts of different classes that share a
-    bucket stays uncompared, and links inside a class, which would change nothing, are not looked for. Pairs are made by
-    joins that split hot buckets; nothing is collected for a bucket, and copies are one text.
+    Links: in every bucket the smallest text is compared with all others. A bucket that still holds several classes goes
+    on: of at most SMALL_BUCKET texts, all pairs not in one class are compared. The texts of larger mixed buckets (which
+    share a passage, say) are grouped anew by an exact prefix filter over their sets: two texts that are similar share
+    one of the rare tokens that start both, and no more than what both do not have alone. Of those groups the small ones
+    compare all pairs of different classes; in the large ones the texts outside of the largest class are queries against
+    the whole group, in blocks. So every pair of different classes in a bucket is compared or ruled out exactly; links
+    inside a class, which would change nothing, are not looked for. Pairs are made by joins that split hot groups;
+    copies are one text.
 
     Null texts count as empty; all empty texts are one class, as copies; a text of 1 to 4 words has one shingle.
     Repeated rows are in one class. class_id is null where all ids of a class are. Empty tables give no rows.
@@ -276,51 +421,40 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     spark = docs.sparkSession
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.unhex(F.md5(text_or_empty(text_col).cast("binary"))).alias("node"), text_or_empty(text_col).alias("text"))
     idf = common_idf(own.select("text"))
+    usual = idf[2]
     sent = spark.sparkContext.broadcast(idf)
     signed = materialize(own.mapInArrow(_signatures(sent, bands, rows), "doc_id bigint, node binary, keys array<bigint>, packed binary"), "near-signatures")
-    firsts = signed.filter("keys IS NOT NULL").select("node", F.explode_outer("keys").alias("key")).distinct().filter("key IS NOT NULL")
-    sizes = firsts.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("leader")).filter("n > 1")
-    buckets = materialize(firsts.join(sizes, "key"), "near-buckets")
-    pairs = buckets.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    keyed = signed.filter("keys IS NOT NULL").select("node", F.explode_outer("keys").alias("key")).filter("key IS NOT NULL").distinct()
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("leader")).filter("n > 1")
+    buckets = materialize(keyed.join(sizes, "key"), "near-buckets")
     wanted = buckets.select("node").distinct()
     sets = materialize(signed.filter("packed IS NOT NULL").select("node", "packed").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "near-sets")
 
-    def verified(pairs: DataFrame, k: int) -> DataFrame:
+    def verified(pairs: DataFrame, label: str) -> DataFrame:
         left, right = (sets.select(F.col("node").alias(c), F.col("packed").alias(f"packed_{c}")) for c in "ab")
         joined = pairs.join(right, "b").join(left, "a").select("a", "b", "packed_a", "packed_b")
-        return materialize(joined.mapInArrow(_verify(idf[2], threshold), "a binary, b binary"), f"near-links-{k}")
-
-    links = verified(pairs, 0)
-    led = buckets.filter("node = leader").select("key", "node")
-    round_ = 0
-    while True:
-        round_ += 1
-        roots = connected_components(links, f"near-{round_}")
-        classed = buckets.select("key", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = classed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-        open_ = materialize(classed.join(mixed, "key"), f"near-open-{round_}")
-        if open_.isEmpty():
-            break
-        small, large = open_.filter(F.col("n") <= SMALL_BUCKET), open_.filter(F.col("n") > SMALL_BUCKET)
-        if round_ > 1:
-            small = small.limit(0)  # all their pairs of different classes were compared in the first round
-        other = lambda d: d.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-        all_small = small.select("key", F.col("node").alias("a"), F.col("root").alias("root_a")).join(other(small), "key").filter("a < b AND root_a <> root_b")
-        members = large.groupBy("key", "root").agg(F.count("*").alias("members"))
-        waiting = large.join(members, ["key", "root"]).join(led, ["key", "node"], "left_anti")
-        # The first leader is of the smallest class; the others are those whose hash falls under LEADERS of n.
-        order = F.struct(F.col("members"), F.xxhash64("node", F.lit(round_)))
-        some = F.collect_set(F.when(F.pmod(F.xxhash64(F.lit(round_), "node"), F.col("n")) < LEADERS, F.struct("node", "root")))
-        chosen = waiting.groupBy("key").agg(F.min_by(F.struct("node", "root"), order).alias("first"), some.alias("more"))
-        next_ = materialize(chosen.select("key", F.explode(F.array_union(F.array("first"), "more")).alias("x")).select("key", "x.node", "x.root"), f"near-leaders-{round_}")
-        led = materialize(led.unionByName(next_.select("key", "node")), f"near-led-{round_}")
-        all_large = next_.select("key", F.col("node").alias("a"), F.col("root").alias("root_a")).join(other(large), "key").filter("root_a <> root_b")
-        pairs = all_small.unionByName(all_large).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = verified(pairs, round_)
-        if large.isEmpty() or next_.isEmpty():
-            roots = connected_components(links.unionByName(found), f"near-{round_}-last")
-            break
-        links = materialize(links.unionByName(found), f"near-all-{round_}")
+        return materialize(joined.mapInArrow(_verify(usual, threshold), "a binary, b binary"), label)
+
+    links = verified(buckets.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "near-links-0")
+    roots = connected_components(links, "near-0")
+    open_ = _mixed(buckets.drop("leader"), roots, "near-open-0")
+    size = f"n <= {SMALL_BUCKET}"
+    small = open_.filter(size)
+    pairs = _pairs(small, small, "a < b AND root_a <> root_b")
+    large = open_.filter(f"NOT ({size})").select("node").distinct()
+    groups = None
+    if not large.isEmpty():
+        groups = prefix_groups(sets.join(large, "node", "left_semi"), usual, threshold)
+        open_ = _mixed(groups, roots, "near-open-1")
+        small = open_.filter(size)
+        pairs = pairs.unionByName(_pairs(small, small, "a < b AND root_a <> root_b", threshold)).distinct()
+        groups = groups.filter(f"NOT ({size})")
+    links = links.unionByName(verified(pairs, "near-links-1"))
+    roots = connected_components(links, "near-1")
+    if groups is not None:
+        found = _blockwise(_mixed(groups, roots, "near-open-2"), sets, usual, threshold)
+        links = links.unionByName(materialize(found, "near-links-2"))
+        roots = connected_components(links, "near-2")
 
     labels = roots.filter("node <> root")
     placed = signed.select("doc_id", "node").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -63,14 +63,32 @@ def test_classes_match_all_pairs(docs_of):
     assert got == brute_classes(rows)
 
 
-def test_large_buckets_lead_in_turn(docs_of, monkeypatch):
+def test_large_buckets_go_in_blocks(docs_of, monkeypatch):
     monkeypatch.setattr(N, "SMALL_BUCKET", 3)
-    monkeypatch.setattr(N, "LEADERS", 1)
+    monkeypatch.setattr(N, "BLOCK", 4)
     rows = made_up(5, 60)
     got = Counter((r.doc_id, r.class_id) for r in N.near_duplicate_classes(docs_of(rows)).collect())
     assert got == brute_classes(rows)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_similar_sets_share_a_prefix_token(seed):
+    rng = np.random.default_rng(seed)
+    often = np.arange(0, 60, 3).astype(np.uint32)
+    times = rng.integers(5, 50, len(often))
+    for _ in range(200):
+        base = np.sort(rng.choice(120, 40, replace=False)).astype(np.uint32)
+        keep = base[rng.random(40) > rng.choice([0.05, 0.15, 0.3])]
+        other = np.unique(np.append(keep, rng.choice(120, rng.integers(0, 6)))).astype(np.uint32)
+        a, b = (base, np.ones(len(base), np.float32)), (other, np.ones(len(other), np.float32))
+        if N.weighted_jaccard(a, b) >= 0.8:
+            (x, rx), (y, ry) = (N.prefix_tokens(*z, often, times, 0.8) for z in (a, b))
+            common = [k for k in x if k in y]
+            assert common  # and what is left from the first one on is enough
+            left = min(rx[list(x).index(common[0])], ry[list(y).index(common[0])])
+            assert 1.8 * left >= 0.8 * (len(base) + len(other)) - 1e-3
+
+
 def test_keep_one_row_of_each_class(docs_of):
     rows = made_up(7, 60)
     rows += rows[:2]
