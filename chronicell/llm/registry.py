@@ -10,6 +10,7 @@ from chronicell.llm.quality_classifier import op1_quality_classifier
 from chronicell.llm.quality_rules import OP5_SQL, op5_quality_rules
 from chronicell.llm.sharding import OP6_SQL, op6_sharding
 from chronicell.llm.suffix_dedup import op10_suffix_dedup
+from chronicell.llm.surrogates import op9_surrogates
 from chronicell.llm.url_filter import op3_url_filter
 
 QUERIES = {
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_sharding": op6_sharding,
     "op7_line_dedup": op7_line_dedup,
     "op8_decontaminate": op8_decontaminate,
+    "op9_surrogates": op9_surrogates,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 ORACLE_SQL = {
