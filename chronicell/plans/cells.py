@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from chronicell.functions.naming import salted_key
 from chronicell.operators import txn
 from chronicell.operators.cells import target_table, to_cells
+from chronicell.plans.log import LINE_ORDER
 from chronicell.session import table
 from chronicell.sources.changes import EVENT_COLUMNS, event_changes, order_lines
 
@@ -30,7 +31,7 @@ def payload_cells(spark, sf):
 
 def line_cells(spark, sf):
     """Cells of the order lines' transactions; of changes that share a microsecond the last one stays."""
-    r = txn.row_micros(order_lines(spark, sf), ["l_orderkey"], ["l_linenumber"], ["l_partkey", "l_suppkey"])
+    r = txn.row_micros(order_lines(spark, sf), ["l_orderkey"], ["l_linenumber"], LINE_ORDER)
     c = r.select(
         F.lit("lineitem").alias("tbl"), F.lit("INSERT").alias("op"), F.array(F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("pk"),
         F.lit(None).cast("map<string,string>").alias("before"), F.create_map(F.lit("quantity"), "quantity", F.lit("returnflag"), "l_returnflag").alias("after"),
@@ -63,7 +64,7 @@ _LINE_KEY = "substr(md5(l_orderkey::VARCHAR), 1, 8) || ';' || l_orderkey || ';'
 def _line_sql():
     from chronicell.plans.log import LINES
 
-    kept = f"SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, ts_us ORDER BY l_partkey DESC, l_suppkey DESC) AS r FROM (SELECT *, least(base_us - 51 + row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey), base_us) AS ts_us FROM ({LINES}))"
+    kept = f"SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, ts_us ORDER BY l_partkey DESC, l_suppkey DESC) AS r FROM (SELECT *, least(base_us - 51 + row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice), base_us) AS ts_us FROM ({LINES}))"
     pairs = (("quantity", "CAST(l_quantity AS DECIMAL(18,2))::VARCHAR"), ("returnflag", "l_returnflag"), ("row_status", "'I'"), ("_transaction_uuid", "'txn:' || l_orderkey"), ("_transaction_xid", "'0'"))
     return f"WITH k AS ({kept}) " + " UNION ALL ".join(f"SELECT 'lineitem' AS tbl, {_LINE_KEY} AS row_key, '{q}' AS qualifier, ts_us, {v} AS value FROM k WHERE r = 1" for q, v in pairs)
 

@@ -84,6 +84,12 @@ def gtid_attach(spark, sf):
     return with_gtid(raw_log(spark, sf)).select("file", "position", "kind", "current_gtid")
 
 
+def log_tracking(spark, sf):
+    """File and position in force at every event, from rotation events that name them (one in 50)."""
+    e = table(spark, sf, "events").select("event_id", (F.col("user_id") % 3).alias("server"), F.when(F.col("event_id") % 50 == 0, F.concat(F.lit("binlog."), F.col("event_id").cast("string"))).alias("rotate"))
+    return augment.known_before(e, F.col("rotate"), ["server"], ["event_id"], "file").select("event_id", "server", "file")
+
+
 def txn_assemble(spark, sf):
     return txn.assemble(raw_log(spark, sf)).filter("kind = 'ROW'").select("file", "position", "txn_no")
 
@@ -104,10 +110,12 @@ def commit_override_us(spark, sf):
 
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
+#: Lines of an order that share a number follow one another in this order.
+LINE_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 
 
 def row_us_order(spark, sf):
-    r = txn.row_micros(order_lines(spark, sf), ["l_orderkey"], ["l_linenumber"], ["l_partkey", "l_suppkey"])
+    r = txn.row_micros(order_lines(spark, sf), ["l_orderkey"], ["l_linenumber"], LINE_ORDER)
     return r.select(*LINE_KEY, "l_partkey", "l_suppkey", "ts_us")
 
 
@@ -150,11 +158,12 @@ PLANS = {
         "SELECT * FROM (SELECT event_id, user_id % 5 AS table_id, last_value(CASE WHEN event_type = 'signup' THEN 'db.t' || event_id END IGNORE NULLS) OVER (PARTITION BY user_id % 5 ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS name FROM events) WHERE name IS NOT NULL",
     ),
     "gtid_attach": (gtid_attach, f"SELECT file, position, kind, last_value(gtid IGNORE NULLS) OVER (PARTITION BY server, file ORDER BY position ROWS UNBOUNDED PRECEDING) AS current_gtid FROM ({RAW_LOG})"),
+    "log_tracking": (log_tracking, "SELECT event_id, user_id % 3 AS server, last_value(CASE WHEN event_id % 50 = 0 THEN 'binlog.' || event_id END IGNORE NULLS) OVER (PARTITION BY user_id % 3 ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS file FROM events"),
     "row_extract": (row_extract, "SELECT event_id, v.i AS row_idx, CASE WHEN v.i = 1 THEN event_type END AS before, CASE WHEN v.i = 0 THEN event_type ELSE upper(event_type) END AS after FROM events CROSS JOIN (VALUES (0), (1)) v(i)"),
     "txn_assemble": (txn_assemble, f"SELECT file, position, txn_no FROM ({ASSEMBLED}) WHERE kind = 'ROW'"),
     "txn_sequence": (txn_sequence, f"SELECT position, commit_ts_ms, seq FROM ({ORDER_SEQ})"),
     "commit_override_us": (commit_override_us, f"SELECT position, base_us FROM ({ORDER_SEQ})"),
-    "row_us_order": (row_us_order, f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, least(base_us - 51 + row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey), base_us) AS ts_us FROM ({LINES})"),
+    "row_us_order": (row_us_order, f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, least(base_us - 51 + row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice), base_us) AS ts_us FROM ({LINES})"),
     "row_us_cap": (row_us_cap, "SELECT event_id, user_id, least(1000000 - 51 + row_number() OVER (PARTITION BY user_id ORDER BY event_id), 1000000) AS ts_us FROM events"),
     "txn_chunks": (txn_chunks, "SELECT event_id, user_id, ((row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 20)::BIGINT AS chunk FROM events"),
 }

@@ -51,6 +51,11 @@ def schema_history(spark, sf):
     return ddl.schema_history(_statements(spark, sf))
 
 
+def ddl_record(spark, sf):
+    history = ddl.schema_history(_statements(spark, sf)).filter("tbl = '_animal_new'")
+    return payloads.ddl_records(history.withColumnRenamed("sql", "query"), "zoo", "_animal_new").select("query", "isCompatibleSchemaChange")
+
+
 def schema_before_after(spark, sf):
     return ddl.columns_before(ddl.schema_history(_statements(spark, sf)))
 
@@ -83,5 +88,9 @@ PLANS = {
     "avro_schema_json": (avro_schema_json, f"SELECT r_regionkey, '{_AVRO}' AS avro_schema FROM region"),
     "schema_keys": (schema_keys, f"SELECT position, CASE WHEN position % 5 = 0 THEN 'bigdata-ddl-schema' ELSE 'bigdata-db-events' END AS subject, 'db-events-' || commit_ts_ms AS header, reverse(commit_ts_ms::VARCHAR) AS raw_key FROM ({EVENTS})"),
     "schema_history": (schema_history, f"SELECT * FROM (VALUES {_ROWS}) v(position, sql, tbl, before, after)"),
+    "ddl_record": (
+        ddl_record,
+        f"""SELECT query, compatible AS "isCompatibleSchemaChange" FROM (VALUES ({_text(DDL_LOG[1])}, true), ({_text(DDL_LOG[2])}, true), ({_text(DDL_LOG[3])}, false)) v(query, compatible)""",
+    ),
     "schema_before_after": (schema_before_after, None),
 }

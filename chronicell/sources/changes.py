@@ -51,7 +51,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "orders").select("o_orderkey", F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("commit_ts_ms")), order="o_orderkey"
     ).withColumn("base_us", txn.commit_micros(F.col("commit_ts_ms"), F.col("seq")))
     return table(spark, sf_dir, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("decimal(18,2)").cast("string").alias("quantity"), "l_returnflag", "l_linestatus", "commit_ts_ms", "seq", "base_us"
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", F.col("l_quantity").cast("decimal(18,2)").cast("string").alias("quantity"), "l_returnflag", "l_linestatus", "commit_ts_ms", "seq", "base_us"
     )
 
 

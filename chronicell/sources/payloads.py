@@ -60,6 +60,37 @@ def schemas_compatible(old: str, new: str) -> bool:
     return True
 
 
+def _columns_of(text: str) -> list[tuple[str, str, None]]:
+    out, depth, start = [], 0, 0
+    for i, c in enumerate(text + ","):
+        depth += (c == "(") - (c == ")")
+        if c == "," and not depth:
+            name, _, kind = text[start:i].strip().partition(" ")
+            out.append((name, kind, None))
+            start = i + 1
+    return out
+
+
+def ddl_records(history: DataFrame, db: str, table: str) -> DataFrame:
+    """(query, schema, isCompatibleSchemaChange) of schema changes (query, before, after as ``name type, ...`` text).
+
+    A new table is compatible; a dropped one is not, and has no schema. There are as many rows as DDL statements.
+    """
+
+    def run(batches):
+        import pandas as pd
+
+        for batch in batches:
+            out = []
+            for query, before, after in zip(batch["query"], batch["before"], batch["after"]):
+                new = avro_schema(db, table, _columns_of(after), meta=True) if after else None
+                old = avro_schema(db, table, _columns_of(before), meta=True) if before else None
+                out.append((query, new, new is not None and (old is None or schemas_compatible(old, new))))
+            yield pd.DataFrame(out, columns=["query", "schema", "isCompatibleSchemaChange"])
+
+    return history.select("query", "before", "after").mapInPandas(run, "query string, schema string, isCompatibleSchemaChange boolean")
+
+
 class SchemaRegistry:
     """Ids of schemas by subject; registering an equal schema again gives its id."""
 
