@@ -34,15 +34,25 @@ def shared_dir(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read again: cuts the lineage and survives the loss of any executor."""
+def materialize(df: DataFrame, label: str, narrow: bool = True) -> DataFrame:
+    """Write to the shared folder and read again: cuts the lineage and survives the loss of any executor.
+
+    Unless ``narrow`` is false, several partitions share a file (see ``fewer_files``).
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    (fewer_files(df) if narrow else df).write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
+def fewer_files(df: DataFrame) -> DataFrame:
+    """For writing: a task and a file for eight shuffle partitions or so, at least one for each core. Shuffle partitions
+    are sized for memory; a file of one would be small, and creating it costs an executor more than writing it."""
+    spark = df.sparkSession
+    return df.coalesce(max(spark.sparkContext.defaultParallelism, shuffle_width(spark) // 8))
+
+
 def text_or_empty(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

@@ -39,7 +39,7 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id",
         .withColumn("_part", F.shiftright("_at", 33))
     )
     # Written out, so that both branches below see one and the same dealing of rows to partitions.
-    ranged = materialize(ranged, "shard-ranges")
+    ranged = materialize(ranged, "shard-ranges", narrow=False)
     in_order = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     totals = ranged.groupBy("_part").agg(F.sum("size").alias("_bytes"), F.count("*").alias("_rows"))
     offsets = totals.select(

@@ -24,14 +24,16 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronicell.llm.base import materialize, shuffle_width, table, text_or_empty
+from chronicell.llm.base import give_back_memory, materialize, shuffle_width, table, text_or_empty
 from chronicell.llm.hashing import _BYTE, _Powers, mix
 
 WINDOW, ANCHOR = 100, 32
 #: Bytes that the multikey quicksort looks at before the blind tries take over (a multiple of 8).
 SHALLOW = 48
-#: Anchors with more different pieces than this are dealt out by whole windows, so that no task gets all of them.
-HOT = 1024
+#: An anchor is hot when it has more different pieces than so many mean partitions hold, or than one task should sort.
+#: Its pieces are dealt out by whole windows, so that no task gets all of them.
+HOT_SHARE, HOT_LEAST, HOT_MOST = 2, 256, 200_000
+_HELD = 200_000  # pieces that a Python worker holds before it packs them
 _SLICE = 1 << 19  # window starts that are hashed at a time; positions must fit in 20 bits
 _U = np.uint64
 
@@ -225,7 +227,8 @@ def _slices(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
 
 
 _FIELDS = (("h", 6), ("content", 6), ("doc_id", 8), ("fp", 8), ("s", 4), ("n", 1), ("a", 1))
-_PIECE_SQL = "h bigint, content bigint, doc_id bigint, fp bigint, s bigint, n bigint, a bigint"
+_PIECE_SQL = "h bigint, content bigint, doc_id bigint, fp bigint, s int, n tinyint, a tinyint"
+_PIECE_TYPES = ("i8", "i8", "i8", "i8", "i4", "i1", "i1")
 
 
 def _pack(columns: list[np.ndarray]) -> bytes:
@@ -247,52 +250,57 @@ def _unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def _describe(ranges: int):
-    """Pieces of every batch, packed by range of their anchor's hash. What repeats inside the batch is already known to
-    repeat: it goes to any range, and the anchor's own range only hears that it does (a piece of 0 windows). So a
-    frequent anchor costs its range one entry for each batch at most."""
+def _packed_pieces(found: list, ranges: int, turn: int) -> pa.RecordBatch:
+    """Pieces, packed by range of their anchor's hash. What repeats among them is already known to repeat: it goes to
+    any range, and the anchor's own range only hears that it does (a piece of 0 windows). So a frequent anchor costs
+    its range one entry for each call at most."""
+    columns = [np.concatenate(c) for c in zip(*found)]
+    by = np.argsort(columns[0], kind="stable")
+    columns = [c[by] for c in columns]
+    new = np.append(True, columns[0][1:] != columns[0][:-1])
+    alone = new & np.append(new[1:], True)
+    multi = new & ~alone
+    entries = [np.where(multi, 0, c)[new] if k else c[new] for k, c in enumerate(columns)]
+    keys, blobs = [], []
+    bounds = np.searchsorted(entries[0], (np.arange(ranges + 1) << 48) // ranges)
+    for k, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:])):
+        if hi > lo:
+            keys.append(k)
+            blobs.append(_pack([c[lo:hi] for c in entries]))
+    known = [c[~alone] for c in columns]
+    for lo in range(0, len(known[0]), 1 << 14):
+        keys.append(ranges + (turn + lo + int(columns[0][0])) % ranges)
+        blobs.append(_pack([c[lo : lo + (1 << 14)] for c in known]))
+    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(blobs, pa.binary())], ["part", "packed"])
+
 
+def _describe(ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn = 0
+        found: list = []
+        n = turn = 0
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             fps = batch.column("fp").to_numpy()
-            found = []
             for row, offset, starts, sizes, data in _slices(batch.column("text").cast(pa.binary()).to_pylist()):
-                text, s, n, a, h, content = pieces_of(data, starts, sizes)
-                found.append((h, content, ids[row[text]], fps[row[text]], s + offset[text], n, a))
-            if not found:
-                continue
-            columns = [np.concatenate(c) for c in zip(*found)]
-            by = np.argsort(columns[0], kind="stable")
-            columns = [c[by] for c in columns]
-            h = columns[0]
-            new = np.append(True, h[1:] != h[:-1])
-            alone = new & np.append(new[1:], True)
-            multi = new & ~alone
-            entries = [np.concatenate([c[alone], c[multi] if k == 0 else np.zeros(multi.sum(), np.int64)]) for k, c in enumerate(columns)]
-            by = np.argsort(entries[0], kind="stable")
-            entries = [c[by] for c in entries]
-            keys, blobs = [], []
-            bounds = np.searchsorted(entries[0], (np.arange(ranges + 1) << 48) // ranges)
-            for k, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:])):
-                if hi > lo:
-                    keys.append(k)
-                    blobs.append(_pack([c[lo:hi] for c in entries]))
-            known = [c[~alone] for c in columns]
-            for lo in range(0, len(known[0]), 1 << 14):
-                turn += 1
-                keys.append(ranges + (turn * 7 + int(h[0])) % ranges)
-                blobs.append(_pack([c[lo : lo + (1 << 14)] for c in known]))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(blobs, pa.binary())], ["part", "packed"])
+                text, s, windows, a, h, content = pieces_of(data, starts, sizes)
+                found.append((h, content, ids[row[text]], fps[row[text]], s + offset[text], windows, a))
+                n += len(h)
+                if n >= _HELD:
+                    turn += 1
+                    yield _packed_pieces(found, ranges, turn)
+                    found, n = [], 0
+        if found:
+            yield _packed_pieces(found, ranges, turn)
+        found = []
+        give_back_memory()
 
     return run
 
 
 def _repeating(ranges: int):
     def run(key: tuple, group: pa.Table) -> pa.Table:
-        parts = [_unpack(x) for x in group.column("packed").to_pylist()]
-        columns = [np.concatenate(c) for c in zip(*parts)]
+        give_back_memory()
+        columns = [np.concatenate(c) for c in zip(*[_unpack(x.as_py()) for x in group.column("packed")])]
         if key[0].as_py() < ranges:
             by = np.argsort(columns[0], kind="stable")
             columns = [c[by] for c in columns]
@@ -300,7 +308,7 @@ def _repeating(ranges: int):
             alone = new & np.append(new[1:], True)
             keep = ~alone & (columns[5] > 0)
             columns = [c[keep] for c in columns]
-        return pa.table(columns, names=[f for f, _ in _FIELDS])
+        return pa.table([c.astype(t) for c, t in zip(columns, _PIECE_TYPES)], names=[f for f, _ in _FIELDS])
 
     return run
 
@@ -331,7 +339,7 @@ def _intervals(table_: pa.Table) -> pa.RecordBatch:
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(piece)) - 1 if len(piece) else first
     owner = pa.array(piece[first])
-    return pa.RecordBatch.from_arrays([table_.column("doc_id").combine_chunks().take(owner), pa.array(fp[piece[first]]), pa.array(start[first]), pa.array(start[last] + WINDOW)], ["doc_id", "fp", "start", "stop"])
+    return pa.RecordBatch.from_arrays([table_.column("doc_id").combine_chunks().take(owner), pa.array(fp[piece[first]]), pa.array(start[first].astype("i4")), pa.array((start[last] + WINDOW).astype("i4"))], ["doc_id", "fp", "start", "stop"])
 
 
 def _sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,7 +367,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start += range(s, s + n)
             window += [c[i : i + WINDOW] for i in range(n)]
         take = pa.array(take, pa.int32())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("fp").take(take), pa.array(start, pa.int64()), pa.array(window, pa.binary())], ["doc_id", "fp", "start", "w"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("fp").take(take), pa.array(start, pa.int32()), pa.array(window, pa.binary())], ["doc_id", "fp", "start", "w"])
 
 
 def remove_spans(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
@@ -408,7 +416,7 @@ def remove_repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: s
     if has_null:  # numbers only below: null ids become a number of their own, below all others
         own = own.withColumn("_id", F.col("doc_id")).withColumn("doc_id", F.coalesce("doc_id", F.lit(-(2**63))))
     own = own.withColumn("fp", F.xxhash64("text") if shared_ids else F.lit(0).cast("long"))
-    ranges = max(64, 2 * shuffle_width(spark))
+    ranges = max(256, 4 * shuffle_width(spark))
     packed = own.select("doc_id", "fp", "text").mapInArrow(_describe(ranges), "part int, packed binary")
     pieces = materialize(packed.groupBy("part").applyInArrow(_repeating(ranges), _PIECE_SQL), "suffix-pieces")
     _release(spark)
@@ -416,25 +424,27 @@ def remove_repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: s
     firsts = materialize(pieces.groupBy("h", "content", "n", "a").agg(first), "suffix-firsts")
     known = firsts.select("h", "content", "first")
     again = pieces.join(known, ["h", "content"]).filter(F.struct("doc_id", "fp", "s") > F.col("first"))
-    spans = [materialize(again.select("doc_id", "fp", F.col("s").alias("start"), (F.col("s") + F.col("n") - 1 + WINDOW).alias("stop")), "suffix-copies")]
+    stop = (F.col("s") + F.col("n") - 1 + WINDOW).cast("int").alias("stop")
+    spans = [materialize(again.select("doc_id", "fp", F.col("s").alias("start"), stop), "suffix-copies")]
     sizes = firsts.groupBy("h").agg(F.count("*").alias("m")).filter("m > 1")
     different = materialize(firsts.join(sizes, "h").select("h", "n", "a", "first.*", "m"), "suffix-different")
     _release(spark)
+    limit = min(HOT_MOST, max(HOT_LEAST, HOT_SHARE * different.count() // shuffle_width(spark)))
     for hot in (False, True):
-        chosen = different.filter(F.col("m") > HOT if hot else F.col("m") <= HOT)
+        chosen = different.filter(F.col("m") > limit if hot else F.col("m") <= limit)
         if chosen.isEmpty():
             continue
         wanted = chosen.groupBy("doc_id", "fp").agg(F.collect_list(F.struct("h", "s", "n", "a")).alias("wanted"))
         read = own.select("doc_id", "fp", "text").dropDuplicates(["doc_id", "fp"]) if shared_ids else own.select("doc_id", "fp", "text")
         cut = read.join(wanted, ["doc_id", "fp"]).mapInArrow(_cut_pieces, "h bigint, doc_id bigint, fp bigint, s bigint, n bigint, a bigint, content binary")
         if hot:
-            windows = materialize(cut.mapInArrow(_windows, "doc_id bigint, fp bigint, start bigint, w binary"), "suffix-windows")
+            windows = materialize(cut.mapInArrow(_windows, "doc_id bigint, fp bigint, start int, w binary"), "suffix-windows")
             least = windows.groupBy("w").agg(F.min(F.struct("doc_id", "fp", "start")).alias("first"))
             found = windows.join(least, "w").filter(F.struct("doc_id", "fp", "start") > F.col("first"))
             found = found.select("doc_id", "fp", "start", (F.col("start") + WINDOW).alias("stop"))
         else:
             grouped = cut.withColumn("doc_order", F.col("doc_id")).repartition(shuffle_width(spark), "h").sortWithinPartitions("h")
-            found = grouped.mapInArrow(_sort_groups, "doc_id bigint, fp bigint, start bigint, stop bigint")
+            found = grouped.mapInArrow(_sort_groups, "doc_id bigint, fp bigint, start int, stop int")
         spans.append(materialize(found, "suffix-spans"))
         _release(spark)
     every = spans[0]

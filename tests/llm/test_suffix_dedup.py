@@ -51,7 +51,7 @@ def test_matches_brute_force(docs_of):
 
 
 def test_hot_anchors_go_by_windows(docs_of, monkeypatch):
-    monkeypatch.setattr(S, "HOT", 2)
+    monkeypatch.setattr(S, "HOT_MOST", 2)
     rows = corpus(2, 60)
     assert result(S.remove_repeated_strings(docs_of(rows))) == brute(rows)
 
