@@ -61,6 +61,19 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows of an Arrow batch that goes to a Python worker: batches are counted in rows, and texts are long.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session send at most BATCH_ROWS rows at a time to Python workers: what a batch holds is held by the
+    executor and by its worker at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def give_back_memory() -> None:
     """Return freed memory of a Python worker to the system: workers live on, and the next stage needs room too."""
     pa.default_memory_pool().release_unused()

@@ -16,13 +16,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronicell.llm.base import table, text_or_empty
+from chronicell.llm.base import give_back_memory, small_batches, table, text_or_empty
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Python's \s counts four control characters as white space that the pattern's own dialect does not.
@@ -30,8 +31,8 @@ _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Widths of the trees that are merged together; longer pieces get a tree of their own.
 _WIDTHS = (8, 16, 32, 64)
 _NONE = np.int32(1 << 30)
-#: Most pieces whose ids a Python worker remembers, and characters that it encodes at a time.
-CACHE_PIECES, SLICE_CHARS = 400_000, 1_000_000
+#: Most pieces whose ids a Python worker remembers, and bytes of text that it encodes at a time.
+CACHE_PIECES, SLICE_BYTES = 400_000, 1_000_000
 
 
 # Ranges of letters and numbers that are younger than the Unicode version of the encoders in use, which
@@ -257,26 +258,29 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
-def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int, list[str]]]:
+    """(first row, row after the last, texts) of slices; only one slice is copied at a time, nulls as empty texts."""
+    sizes = pc.binary_length(texts).fill_null(0).to_pylist()
     lo = size = 0
-    for k, t in enumerate(texts):
-        if size and size + len(t) > SLICE_CHARS:
-            yield lo, k
+    for k in range(len(sizes) + 1):
+        if k == len(sizes) or (size and size + sizes[k] > SLICE_BYTES):
+            if k > lo:
+                yield lo, k, [t or "" for t in texts.slice(lo, k - lo).to_pylist()]
             lo, size = k, 0
-        size += len(t)
-    if texts:
-        yield lo, len(texts)
+        if k < len(sizes):
+            size += sizes[k]
 
 
-def _encode(path: str, pattern: str, text_col: str, schema: pa.Schema):
+def _encode(path: str, pattern: str, text_col: str, schema: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, pattern)
         for batch in batches:
-            texts = [t or "" for t in batch.column(text_col).to_pylist()]
-            for lo, hi in _slices(texts):
-                ids, counts = own.encode(texts[lo:hi])
+            for lo, hi, texts in _slices(batch.column(text_col)):
+                ids, counts = own.encode(texts)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns, lists], names=schema)
+        own.forget()  # the worker lives on, perhaps for other work
+        give_back_memory()
 
     return run
 
@@ -287,6 +291,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str = public_tokenizer
     No special tokens. Null and empty texts get an empty array. A column named like ``ids_col`` is replaced; all other
     columns pass through. No shuffle: rows stay where they are. ``path`` is read on every executor.
     """
+    small_batches(docs.sparkSession)
     rest = docs.drop(ids_col)
     schema = T.StructType([*rest.schema, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
     return rest.mapInArrow(_encode(path, pattern, text_col, schema.names), schema)
@@ -316,13 +321,24 @@ def decode_documents(docs: DataFrame, path: str, ids_col: str = "ids") -> DataFr
 
     Null ids give nulls; columns of these two names are replaced; an id outside the vocabulary is an error.
     """
+    small_batches(docs.sparkSession)
     rest = docs.drop("decoded", "ids_sha256")
     schema = T.StructType([*rest.schema, T.StructField("decoded", T.BinaryType()), T.StructField("ids_sha256", T.StringType())])
     return rest.mapInArrow(_decode(path, ids_col, schema.names), schema)
 
 
+def encode_and_decode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+    """``decode_documents`` of ``encode_documents``, both in one Python worker instead of one after another in two."""
+    small_batches(docs.sparkSession)
+    rest = docs.drop(ids_col, "decoded", "ids_sha256")
+    first = T.StructType([*rest.schema, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([*first, T.StructField("decoded", T.BinaryType()), T.StructField("ids_sha256", T.StringType())])
+    encode, decode = _encode(path, pattern, text_col, first.names), _decode(path, ids_col, schema.names)
+    return rest.mapInArrow(lambda batches: decode(encode(batches)), schema)
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
     docs = table(spark, sf_dir, "documents").select("doc_id", text_or_empty().alias("text"))
-    decoded = decode_documents(encode_documents(docs, path).select("doc_id", "ids"), path)
+    decoded = encode_and_decode(docs, path)
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))

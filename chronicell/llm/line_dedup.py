@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronicell.llm.base import SPACE, materialize, shuffle_width, table, text_or_empty
+from chronicell.llm.base import SPACE, fewer_files, give_back_memory, materialize, shuffle_width, small_batches, table, text_or_empty
 
 MIN_CHARS, MIN_DOCS = 20, 3
 _STRIP = SPACE.encode()
@@ -25,9 +25,16 @@ def line_key(line: bytes) -> bytes:
     return line.strip(_STRIP).lower()
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches cut up, so that only few texts are copied at a time."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def _occurrences(min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             docs, fps = batch.column("doc_id"), batch.column("fp")
             digests, rows, places = [], [], []
             for r, text in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
@@ -41,6 +48,7 @@ def _occurrences(min_chars: int):
             halves = np.frombuffer(b"".join(digests), ">i8").astype("i8").reshape(-1, 2)
             take = pa.array(rows, pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), docs.take(take), fps.take(take), pa.array(places, pa.int32())], schema=_OCC)
+        give_back_memory()
 
     return run
 
@@ -138,8 +146,9 @@ def line_keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     empty line, which stays. A null id counts as one document below all others. Repeated rows share one bitmap. An
     empty table gives none. Other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     keyed = _keyed(docs, id_col, text_col)
-    found = materialize(keyed.mapInArrow(_occurrences(min_chars), _OCC_SQL), "line-hashes")
+    found = materialize(fewer_files(keyed).mapInArrow(_occurrences(min_chars), _OCC_SQL), "line-hashes", narrow=False)
     order = [F.col("h1"), F.col("h2"), F.col("doc_id").desc_nulls_last(), F.col("fp"), F.col("pos")]
     ranged = found.repartitionByRange(shuffle_width(docs.sparkSession), *order).sortWithinPartitions(*order)
     marks = materialize(ranged.mapInArrow(_stream(min_docs), f"{_OCC_SQL}, open boolean"), "line-marks")
@@ -160,12 +169,13 @@ def _kept_text(text: bytes, n: int, bitmap: bytes) -> bytes:
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _pieces(batches):
         cols = (batch.column(c).to_pylist() for c in ("n_lines", "n_dropped", "keep_bitmap"))
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         out = [_kept_text(t, n, b) if d else t for t, n, d, b in zip(texts, *cols)]
         at = batch.schema.get_field_index("text")
         yield batch.set_column(at, pa.field("text", pa.string()), pa.array(out, pa.binary()).cast(pa.string()))
+    give_back_memory()
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:

@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronicell.llm.base import give_back_memory, materialize, table, text_or_empty
+from chronicell.llm.base import fewer_files, give_back_memory, materialize, small_batches, table, text_or_empty
 from chronicell.llm.hashing import mix, shingle_hashes
 
 WIDTH, THRESHOLD = 5, 0.8
@@ -418,12 +418,13 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     Null texts count as empty; all empty texts are one class, as copies; a text of 1 to 4 words has one shingle.
     Repeated rows are in one class. class_id is null where all ids of a class are. Empty tables give no rows.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.unhex(F.md5(text_or_empty(text_col).cast("binary"))).alias("node"), text_or_empty(text_col).alias("text"))
     idf = common_idf(own.select("text"))
     usual = idf[2]
     sent = spark.sparkContext.broadcast(idf)
-    signed = materialize(own.mapInArrow(_signatures(sent, bands, rows), "doc_id bigint, node binary, keys array<bigint>, packed binary"), "near-signatures")
+    signed = materialize(fewer_files(own).mapInArrow(_signatures(sent, bands, rows), "doc_id bigint, node binary, keys array<bigint>, packed binary"), "near-signatures", narrow=False)
     keyed = signed.filter("keys IS NOT NULL").select("node", F.explode_outer("keys").alias("key")).filter("key IS NOT NULL").distinct()
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("leader")).filter("n > 1")
     buckets = materialize(keyed.join(sizes, "key"), "near-buckets")
@@ -433,7 +434,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     def verified(pairs: DataFrame, label: str) -> DataFrame:
         left, right = (sets.select(F.col("node").alias(c), F.col("packed").alias(f"packed_{c}")) for c in "ab")
         joined = pairs.join(right, "b").join(left, "a").select("a", "b", "packed_a", "packed_b")
-        return materialize(joined.mapInArrow(_verify(usual, threshold), "a binary, b binary"), label)
+        return materialize(fewer_files(joined).mapInArrow(_verify(usual, threshold), "a binary, b binary"), label, narrow=False)
 
     links = verified(buckets.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "near-links-0")
     roots = connected_components(links, "near-0")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronicell.llm.base import materialize, table, text_or_empty
+from chronicell.llm.base import materialize, small_batches, table, text_or_empty
 from chronicell.llm.hashing import word_hashes
 
 FEATURES, SEED, RIDGE, BANDWIDTH = 128, 20240501, 1e-3, 3.0
@@ -80,6 +80,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and x array<double>, the values of STATISTICS; one row for each row, null texts as empty ones."""
+    small_batches(docs.sparkSession)
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     return own.mapInArrow(_measure, "doc_id bigint, x array<double>")
 

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronicell.llm.base import give_back_memory, materialize, shuffle_width, table, text_or_empty
+from chronicell.llm.base import give_back_memory, materialize, shuffle_width, small_batches, table, text_or_empty
 from chronicell.llm.hashing import _BYTE, _Powers, mix
 
 WINDOW, ANCHOR = 100, 32
@@ -409,6 +409,7 @@ def remove_repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: s
     Null texts count as empty; texts under WINDOW bytes lose nothing. A cut may fall inside a character, hence binary.
     An empty table gives no rows; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     shared_ids = not own.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()

@@ -28,7 +28,9 @@ def test_like_the_library_and_back(spark, docs_of, library):
     rows = list(enumerate(texts())) + [(1000, None)]
     ids = B.encode_documents(docs_of(rows), PATH)
     assert ids.columns == ["doc_id", "text", "lang", "source", "n_chars", "ids"]
-    for r in B.decode_documents(ids, PATH).collect():
+    both = B.decode_documents(ids, PATH)
+    assert sorted(map(str, both.collect())) == sorted(map(str, B.encode_and_decode(docs_of(rows), PATH).collect()))
+    for r in both.collect():
         text = r.text or ""
         assert r.ids == library.encode_ordinary(text)
         assert bytes(r.decoded) == text.encode()
