@@ -26,10 +26,9 @@ RULES = (
     ("block", "org/es/"),
 )
 BLOCK_WORDS = ("ads", "adult", "betting", "casino", "jackpot", "malware", "phishing", "pills", "poker", "porn", "spam", "tracker", "track", "viagra", "xxx")
-#: Words and tokens below this share of all occurrences are left to the smoothing: at most 1 / share entries remain,
-#: whatever the corpus. Longer words than MAX_WORD letters are not in the lexicon.
+#: BLOCK_WORDS have at least this share of all occurrences in the lexicon. Longer words than MAX_WORD letters are not in it.
 MIN_SHARE, MAX_WORD = 1e-5, 40
-_CACHED = 200_000
+_HELD = 50_000  # parts of runs that a worker holds before it sends them on
 
 
 def host_of(url: Column) -> Column:
@@ -88,75 +87,92 @@ def page_words(pages: DataFrame) -> DataFrame:
     return words.filter("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
 
 
-def fit_lexicon(counts: DataFrame, extra: Sequence[str] = BLOCK_WORDS, share: float = MIN_SHARE) -> Lexicon:
-    """From (word, n). ``extra`` words are in the lexicon with at least the share that an entry needs."""
-    total = float(counts.agg(F.sum("n")).first()[0] or 0)
-    rows = counts.filter((F.col("n") >= share * total) & (F.length("word") <= MAX_WORD)).collect()
-    cost = {r.word: -log(r.n / total) for r in rows}
-    for word in extra:
-        cost[word] = min(cost.get(word, 99.0), -log(share))
-    return Lexicon(cost, total)
-
-
 _SPLIT = re.compile(r"[\W\d_]+")
 
 
-def url_tokens(host: str, path: str, segment) -> tuple[list[str], list[str]]:
-    """Words of the host and of the path, each delimited run of letters segmented on its own."""
-    return tuple([w for run in _SPLIT.split(x.lower()) if run for w in segment(run)] for x in (host, path))
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the delimited runs of letters of the host and of the path."""
+    for batch in batches:
+        found = [pa.array([[run for run in _SPLIT.split(x.lower()) if run] for x in batch.column(c).to_pylist()], pa.list_(pa.string())) for c in ("host", "path")]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=[*batch.schema.names, "host_runs", "path_runs"])
 
 
-def _tokens(sent):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, known = sent.value, {}
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        runs, words = [], []
+        for run in batch.column("run").to_pylist():
+            parts = {run[k:end] for end in range(1, len(run) + 1) for k in range(max(0, end - MAX_WORD), end)}
+            runs += [run] * len(parts)
+            words += parts
+            if len(words) >= _HELD:
+                yield pa.RecordBatch.from_arrays([pa.array(runs, pa.string()), pa.array(words, pa.string())], names=["run", "word"])
+                runs, words = [], []
+        yield pa.RecordBatch.from_arrays([pa.array(runs, pa.string()), pa.array(words, pa.string())], names=["run", "word"])
+
 
-        def segment(name: str) -> list[str]:
-            if name not in known:
-                if len(known) >= _CACHED:
-                    known.clear()
-                known[name] = lexicon.segment(name)
-            return known[name]
+def _segments(total: float, extra: Sequence[str], share: float):
+    least = dict.fromkeys(extra, -log(share))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            both = [url_tokens(h, p, segment) for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist())]
-            weak = [any(w in BLOCK_WORDS for w in h) for h, _ in both]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([h + p for h, p in both], pa.list_(pa.string())), pa.array(weak, pa.bool_())], names=[*batch.schema.names, "tokens", "weak_block"])
+            words = []
+            for name, found in zip(batch.column("run").to_pylist(), batch.column("found").to_pylist()):
+                cost = least | {x["word"]: min(-log(x["n"] / total), least.get(x["word"], float("inf"))) for x in found or ()}
+                words.append(Lexicon(cost, total).segment(name))
+            weak = [any(w in extra for w in x) for x in words]
+            yield pa.RecordBatch.from_arrays([batch.column("run"), pa.array(words, pa.list_(pa.string())), pa.array(weak, pa.bool_())], names=["run", "words", "weak"])
 
     return run
 
 
+def segment_runs(runs: DataFrame, counts: DataFrame, extra: Sequence[str] = BLOCK_WORDS, share: float = MIN_SHARE) -> DataFrame:
+    """(run, words, weak: whether one of them is in ``extra``) for different runs (run), by the full counts (word, n).
+
+    The parts of a run that may be words are looked up by a join, so the lexicon may have any size. ``extra`` words are
+    in the lexicon with a share of at least ``share``.
+    """
+    total = float(counts.agg(F.sum("n")).first()[0] or 0)
+    parts = runs.select("run").mapInArrow(_candidates, "run string, word string")
+    known = parts.join(counts.filter(F.length("word") <= MAX_WORD), "word")
+    found = known.groupBy("run").agg(F.collect_list(F.struct("word", "n")).alias("found"))
+    return runs.select("run").join(found, "run", "left").mapInArrow(_segments(total, extra, share), "run string, words array<string>, weak boolean")
+
+
 @dataclass
 class NaiveBayes:
-    """Log odds of block against allow: a prior and one term for each token occurrence, add-one smoothed."""
+    """Log odds of block against allow: a prior and one term for each token occurrence, add-one smoothed.
+
+    ``terms`` is a table (t, term) of all tokens.
+    """
 
     prior: float
-    terms: dict[str, float]
+    terms: DataFrame
     unseen: float
 
     def log_odds(self, tokens: Sequence[str]) -> float:
-        return self.prior + sum(self.terms.get(t, self.unseen) for t in tokens)
+        found = {r.t: r.term for r in self.terms.filter(F.col("t").isin(sorted(set(tokens)))).collect()}
+        return self.prior + sum(found.get(t, self.unseen) for t in tokens)
+
+
+def naive_bayes(n: int, block: int, counts: DataFrame) -> NaiveBayes:
+    """From the numbers of URLs and of those to block, and (t, block, allow): a token's occurrences in both."""
+    sums = counts.agg(F.count("*").alias("size"), F.sum("block").alias("block"), F.sum("allow").alias("allow")).first()
+    in_block, in_allow = (sums.block or 0) + sums.size + 1, (sums.allow or 0) + sums.size + 1
+    term = F.log((F.col("block") + 1) / F.lit(float(in_block))) - F.log((F.col("allow") + 1) / F.lit(float(in_allow)))
+    return NaiveBayes(log((block + 1) / (n - block + 1)), counts.select("t", term.alias("term")), log(in_allow / in_block))
 
 
-def fit_naive_bayes(tokens: DataFrame, share: float = MIN_SHARE) -> NaiveBayes:
+def fit_naive_bayes(tokens: DataFrame) -> NaiveBayes:
     """From (tokens array<string>, weak_block boolean), counted over all rows."""
     rows = tokens.agg(F.count("*").alias("n"), F.coalesce(F.count_if("weak_block"), F.lit(0)).alias("block")).first()
     each = tokens.select(F.explode_outer("tokens").alias("t"), "weak_block").filter("t IS NOT NULL")
     counts = each.groupBy("t").agg(F.count_if("weak_block").alias("block"), F.count_if(~F.col("weak_block")).alias("allow"))
-    sums = counts.agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")).first()
-    block, allow = sums.block or 0, sums.allow or 0
-    kept = counts.filter(F.col("block") + F.col("allow") >= share * (block + allow)).collect()
-    size = len(kept) + 1
-    term = lambda b, a: log((b + 1) / (block + size)) - log((a + 1) / (allow + size))
-    return NaiveBayes(log((rows.block + 1) / (rows.n - rows.block + 1)), {r.t: term(r.block, r.allow) for r in kept}, term(0, 0))
+    return naive_bayes(rows.n, rows.block, materialize(counts, "url-token-counts"))
 
 
-def _scores(sent):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            odds = [sent.value.log_odds(t) for t in batch.column("tokens").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "host", "path")), pa.array(odds, pa.float64())], ["page_id", "host", "path", "log_odds"])
-
-    return run
+def _sum(values: Column) -> Column:
+    """Of an array, smallest first: equal arrays have equal sums, however they were gathered."""
+    return F.aggregate(F.sort_array(values), F.lit(0.0), lambda a, x: a + x)
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
@@ -165,13 +181,27 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> Da
     verdict is the rule's where one fits, else block where the log odds are above 0, else allow. Null urls and urls
     without :// have an empty host and path and no words. Null html adds no words to the lexicon. Repeated rows are
     judged alike; an empty table gives no rows; other columns are ignored.
+
+    Different runs of letters are segmented and scored once; lexicon and tokens are joined in full.
     """
-    spark = pages.sparkSession
-    own = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    lexicon = spark.sparkContext.broadcast(fit_lexicon(materialize(page_words(pages), "url-lexicon")))
-    tokens = materialize(own.mapInArrow(_tokens(lexicon), "page_id bigint, host string, path string, tokens array<string>, weak_block boolean"), "url-tokens")
-    model = spark.sparkContext.broadcast(fit_naive_bayes(tokens))
-    scored = tokens.mapInArrow(_scores(model), "page_id bigint, host string, path string, log_odds double")
+    own = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.monotonically_increasing_id().alias("_row"))
+    cut = materialize(own.mapInArrow(_runs, "page_id bigint, host string, path string, _row bigint, host_runs array<string>, path_runs array<string>"), "url-runs")
+    runs = cut.select(F.explode(F.concat("host_runs", "path_runs")).alias("run")).distinct()
+    segmented = materialize(segment_runs(runs, materialize(page_words(pages), "url-lexicon")), "url-segments")
+
+    hosts = cut.select("_row", F.explode("host_runs").alias("run"))
+    weak = hosts.join(segmented.filter("weak").select("run"), "run").select("_row").distinct().withColumn("_weak", F.lit(True))
+    labelled = materialize(cut.join(weak, "_row", "left").select("page_id", "host", "path", "_row", F.concat("host_runs", "path_runs").alias("runs"), F.coalesce("_weak", F.lit(False)).alias("weak_block")), "url-pages")
+    rows = labelled.agg(F.count("*").alias("n"), F.count_if("weak_block").alias("block")).first()
+    seen = labelled.select(F.explode("runs").alias("run"), "weak_block").groupBy("run").agg(F.count_if("weak_block").alias("block"), F.count_if(~F.col("weak_block")).alias("allow"))
+    each = segmented.join(seen, "run").select(F.explode("words").alias("t"), "block", "allow")
+    model = naive_bayes(rows.n, rows.block or 0, materialize(each.groupBy("t").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")), "url-token-counts"))
+
+    terms = segmented.select("run", F.explode("words").alias("t")).join(model.terms, "t")
+    scores = materialize(terms.groupBy("run").agg(_sum(F.collect_list("term")).alias("score")), "url-run-scores")
+    found = labelled.select("_row", F.explode("runs").alias("run")).join(scores, "run")
+    odds = found.groupBy("_row").agg(_sum(F.collect_list("score")).alias("_odds"))
+    scored = labelled.join(odds, "_row", "left").withColumn("log_odds", F.lit(model.prior) + F.coalesce("_odds", F.lit(0.0)))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("log_odds") > 0, "block").otherwise("allow")
     return scored.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"), "log_odds")

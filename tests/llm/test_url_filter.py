@@ -69,3 +69,14 @@ def test_naive_bayes_by_hand(spark):
     model = U.fit_naive_bayes(rows)
     term = lambda block, allow: log((block + 1) / (3 + 4)) - log((allow + 1) / (2 + 4))
     assert model.log_odds(["a", "b", "zz"]) == pytest.approx(log(2 / 3) + term(2, 0) + term(1, 1) + term(0, 0))
+
+
+def test_rare_tokens_and_words_count_in_a_large_corpus(spark):
+    """One of 120,000 occurrences: a share below 1e-5, once cut."""
+    rows = spark.range(120_000).select(F.array(F.lit("usual")).alias("tokens"), F.lit(False).alias("weak_block"))
+    rows = rows.unionByName(spark.createDataFrame([(["rare"], True)], "tokens array<string>, weak_block boolean"))
+    model = U.fit_naive_bayes(rows)
+    assert model.log_odds(["rare"]) == pytest.approx(log(2 / 120_001) + log(2 / (1 + 3)) - log(1 / (120_000 + 3)))
+    pages = [(1, "http://adsquokka.org/a", "plain " * 150_000 + "quokka"), *((k, f"http://plain{k}.org/a", None) for k in range(2, 5))]
+    found = {r.page_id: r.verdict for r in U.judge_urls(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+    assert found == {1: "block", 2: "allow", 3: "allow", 4: "allow"}
