@@ -9,6 +9,8 @@ case, its script and the gender that the title tells.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +28,7 @@ _NAME = r"\p{Lu}[\p{L}'’-]+"
 PATTERNS = (
     ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"),
     ("key", r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"),
-    ("secret", r"(?i:password|passwd|secret|token|api_key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?[A-Za-z0-9_/+-]{8,128}"),
+    ("secret", r"(?i:password|passwd|secret|token|api_key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?(?=[_/+-]*[A-Za-z0-9])[A-Za-z0-9_/+-]{8,128}"),
     ("ip", rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"),
     ("phone", r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
@@ -44,8 +46,8 @@ _ENDINGS = {
     ("m", "cyrillic"): "ран", ("f", "cyrillic"): "рина", ("n", "cyrillic"): "рел", ("s", "cyrillic"): "стон",
     ("m", "greek"): "ραν", ("f", "greek"): "ρινα", ("n", "greek"): "ρελ", ("s", "greek"): "στον",
 }
-#: Rounds of new attempts until all surrogates differ; more than these means that a type's surrogates have run out.
-ROUNDS = 40
+#: A value that has no free surrogate after so many attempts gets longer ones, by one more character or syllable each time.
+LONGER_AFTER = 8
 
 
 def _hash(*parts: Column) -> Column:
@@ -72,8 +74,11 @@ def _kind(entity: Column) -> Column:
 
 
 def _in_format(entity: Column, digits: Column) -> Column:
-    """The entity with its digits replaced, one after another."""
-    return F.array_join(F.zip_with(F.split(entity, "[0-9]", -1), F.concat(F.split(digits, ""), F.array(F.lit(""))), lambda g, d: F.concat(g, d)), "")
+    """The entity with its digits replaced, one after another; more digits than it has follow it."""
+    n = F.length(_digits(entity))
+    new = F.split(F.substring(digits, F.lit(1), n), "")
+    text = F.array_join(F.zip_with(F.split(entity, "[0-9]", -1), F.concat(new, F.array(F.lit(""))), lambda g, d: F.concat(g, d)), "")
+    return F.concat(text, F.substring(digits, n + 1, F.length(digits)))
 
 
 def _same_classes(value: Column, stream: Column, hex_only: Column) -> Column:
@@ -126,6 +131,25 @@ def _surrogate(kind: Column, canon: Column, stream: Column) -> Column:
     )
 
 
+def _longer(kind: Column, canon: Column, surrogate: Column, stream: Column, attempt: Column) -> Column:
+    """The surrogate with what the attempt adds to it; cards and domains have at least 10^11 surrogates and stay."""
+    n = F.greatest(attempt - LONGER_AFTER + 1, F.lit(0))
+    more = F.substring(F.substring(stream, 257, 256), F.lit(1), n)
+    digits = F.translate(more, "abcdef", "123456")
+    out = (
+        F.when(kind.isin("phone", "ssn"), F.concat(surrogate, digits))
+        .when(kind == "ip", F.concat(surrogate, F.lit("."), digits))
+        .when(kind == "email", F.concat(F.substring_index(surrogate, "@", 1), more, F.lit("@")))
+        .when(kind == "key", F.concat(surrogate, F.upper(more)))
+        .when(kind == "secret", F.concat(surrogate, more))
+    )
+    script = _script(canon)
+    for name, syllables in _SYLLABLES.items():
+        added = F.array_join(F.transform(F.split(more, ""), lambda c: F.get(F.array(*map(F.lit, syllables)), F.conv(c, 16, 10).cast("int"))), "")
+        out = F.when(kind.startswith("name-") & (script == name), F.initcap(F.concat(added, F.lower(surrogate)))).otherwise(out)
+    return F.when(n > 0, F.coalesce(out, surrogate)).otherwise(surrogate)
+
+
 def _canonical(entities: DataFrame) -> DataFrame:
     """(entity, kind, canon, rest): rest is what else the surrogate is made of (an address's domain, a given name)."""
     e, kind = F.col("entity"), F.col("kind")
@@ -155,19 +179,23 @@ def surrogate_map(entities: DataFrame, key: str = KEY) -> DataFrame:
     surrogate however it is written and wherever it stands, and so have a domain, a given name and a surname of their own.
     Surrogates come from a hash of key, kind and value. Where two values of a kind would get the same surrogate, or
     one that is itself a value found in the corpus, the smallest value keeps it (in the second case none does) and the
-    others try again, until all differ.
+    others try again, with longer surrogates after LONGER_AFTER attempts, until all differ. Addresses differ by their
+    local part or by their domain, which has a surrogate of its own.
     """
     forms = materialize(_canonical(entities), "pii-forms")
     main = forms.select(F.when(F.col("kind") == "name", "name-s").otherwise(F.col("kind")).alias("kind"), "canon")
     more = forms.filter("rest IS NOT NULL").select(F.when(F.col("kind") == "email", "domain").otherwise(F.col("rest_kind")).alias("kind"), F.col("rest").alias("canon"))
     values = materialize(main.unionByName(more).distinct(), "pii-values")
     made = values.select("kind", "canon", F.lit(0).alias("attempt"))
-    for k in range(ROUNDS):
+    scope = F.when(F.col("kind") == "email", F.substring_index("canon", "@", -1)).otherwise("")
+    for k in itertools.count():
         streamed = made.select("kind", "canon", "attempt", _hash(F.lit(key), F.col("kind"), F.col("canon"), F.col("attempt").cast("string")).alias("stream"))
         # Written before use: the stream is read character by character and must not be hashed anew for each.
         streamed = materialize(streamed, f"pii-streams-{k}")
-        tried = materialize(streamed.select("kind", "canon", "attempt", _surrogate(F.col("kind"), F.col("canon"), F.col("stream")).alias("surrogate")), f"pii-tried-{k}")
-        winners = tried.groupBy("kind", "surrogate").agg(F.min("canon").alias("canon"))
+        tried = streamed.select("kind", "canon", "attempt", _surrogate(F.col("kind"), F.col("canon"), F.col("stream")).alias("surrogate"), "stream")
+        longer = _longer(F.col("kind"), F.col("canon"), F.col("surrogate"), F.col("stream"), F.col("attempt")) if k >= LONGER_AFTER else F.col("surrogate")
+        tried = materialize(tried.select("kind", "canon", "attempt", longer.alias("surrogate")), f"pii-tried-{k}")
+        winners = tried.groupBy("kind", "surrogate", scope.alias("_scope")).agg(F.min("canon").alias("canon"))
         taken = values.select("kind", F.lower("canon").alias("surrogate"))
         free = winners.withColumn("_low", F.lower("surrogate")).join(taken.withColumnRenamed("surrogate", "_low"), ["kind", "_low"], "left_anti").drop("_low")
         good = free.select("kind", "canon", F.lit(True).alias("good"))
@@ -175,8 +203,6 @@ def surrogate_map(entities: DataFrame, key: str = KEY) -> DataFrame:
         if judged.filter("good IS NULL").isEmpty():
             break
         made = judged.select("kind", "canon", (F.col("attempt") + F.when(F.col("good").isNull(), 1).otherwise(0)).alias("attempt"))
-    else:
-        raise ValueError("no distinct surrogates left for some kind")
     found = judged.select("kind", "canon", "surrogate")
     a = found.withColumnsRenamed({"kind": "_kind", "canon": "_canon", "surrogate": "own"})
     b = found.withColumnsRenamed({"kind": "_kind2", "canon": "_canon2", "surrogate": "other"})

@@ -83,3 +83,15 @@ def test_collisions_are_resolved(spark, monkeypatch):
 
 def test_empty_table(docs_of):
     assert S.replace_entities(docs_of([])).count() == 0
+
+
+def test_surrogates_never_run_out(spark, docs_of, monkeypatch):
+    """Addresses of one letter in many domains and in one, surnames beyond their syllables, a line without a secret."""
+    out = S.replace_entities(docs_of([(1, "Password: ________________ and Password: _______a")])).collect()[0]
+    assert out.kinds == ["secret"] and out.text.startswith("Password: ________________ and Password: _______") and not out.text.endswith("_______a")
+    monkeypatch.setattr(S, "_SYLLABLES", {k: v[:1] * 16 for k, v in S._SYLLABLES.items()})
+    monkeypatch.setattr(S, "LONGER_AFTER", 2)
+    rows = [(f"a@x{k}.com", "email") for k in range(40)] + [(f"{c}@one.org", "email") for c in "abcdefghijklmnopqrstuvwxyz"]
+    rows += [(f"Mr Smith{a}", "name") for a in "abc"] + [(f"password={k}_______", "secret") for k in range(10)]
+    found = {r.entity: r.surrogate for r in S.surrogate_map(spark.createDataFrame(rows, "entity string, kind string")).collect()}
+    assert len(found) == len(rows) == len(set(found.values()))
