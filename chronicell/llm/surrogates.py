@@ -24,18 +24,23 @@ _TITLES = {
     "n": ("Dr", "Prof", "Доктор"),
 }
 _NAME = r"\p{Lu}[\p{L}'’-]+"
+#: Digits in groups, each one space or hyphen apart: where they hold a card, it is found by its check digit and marked
+#: with two noncharacters before all patterns are looked for.
+_RUN = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,}+(?![0-9])"
+_OPEN, _CLOSE = "\ufdd0", "\ufdd1"
 #: Kind and pattern, in order of precedence at one place.
 PATTERNS = (
     ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"),
     ("key", r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"),
-    ("secret", r"(?i:password|passwd|secret|token|api_key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?(?=[_/+-]*[A-Za-z0-9])[A-Za-z0-9_/+-]{8,128}"),
+    ("secret", r"(?i:password|passwd|secret|token|api_key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?(?=[_/+-]*[A-Za-z0-9])[A-Za-z0-9_/+-]{8,}"),
     ("ip", rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"),
     ("phone", r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
-    ("card", r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"),
+    ("card", rf"{_OPEN}[0-9](?:[ -]?[0-9]){{12,}}+{_CLOSE}"),
     ("name", rf"(?<![\p{{L}}])(?:{'|'.join(t for g in _TITLES.values() for t in g)})\.?[ ]{_NAME}(?:[ ]{_NAME})?"),
 )
 ANY = "|".join(p for _, p in PATTERNS)
+_BEFORE_CARDS = "|".join(_RUN if k == "card" else p for k, p in PATTERNS)
 _SYLLABLES = {
     "latin": ("ba", "be", "da", "de", "fi", "ga", "ka", "la", "li", "ma", "mo", "na", "ra", "ro", "sa", "ta"),
     "cyrillic": ("ба", "бе", "да", "де", "фи", "га", "ка", "ла", "ли", "ма", "мо", "на", "ра", "ро", "са", "та"),
@@ -70,7 +75,34 @@ def _kind(entity: Column) -> Column:
     out = F.lit(None).cast("string")
     for kind, pattern in reversed(PATTERNS):
         out = F.when(entity.rlike(f"^(?:{pattern})$"), kind).otherwise(out)
-    return F.when((out == "card") & (_luhn_sum(_digits(entity), 1) % 10 != 0), F.lit(None)).otherwise(out)
+    return out
+
+
+def _mark_run(run: Column) -> Column:
+    """Marks around what 13 to 19 digits with a right check digit cover, from the start of a group to the end of one;
+    such parts that overlap are marked as one, such that no card stays."""
+    card = lambda d: F.length(d).between(13, 19) & (_luhn_sum(d, 1) % 10 == 0)
+    spans = lambda t, i: F.filter(F.sequence(F.least(F.lit(19), F.size(t) - i), F.lit(1), F.lit(-1)), lambda n: card(_digits(F.array_join(F.slice(t, i + 1, n), ""))))
+    # (groups with what is before them, groups of the longest card from each on): one element, so that each is made once
+    tokens = F.array(F.regexp_extract_all(run, F.lit("[ -]?[0-9]+"), F.lit(0)))
+    both = F.transform(tokens, lambda t: F.struct(t.alias("t"), F.transform(t, lambda _, i: F.coalesce(F.get(spans(t, i), F.lit(0)), F.lit(0))).alias("n")))
+
+    def one(x: Column, token: Column, i: Column) -> Column:
+        reach = lambda first, last, to: F.exists(F.filter(F.sequence(first, i), lambda j: j <= last), lambda j: j + F.get(x["n"], j) > to)
+        first = F.greatest(i - 18, F.lit(0))
+        opens = (F.get(x["n"], i) > 0) & ~reach(first, i - 1, i)
+        closes = reach(first, i, i) & ~reach(first, i, i + 1)
+        return F.concat(F.when(opens, F.regexp_replace(token, "^([ -]?)", f"$1{_OPEN}")).otherwise(token), F.when(closes, F.lit(_CLOSE)).otherwise(""))
+
+    return F.array_join(F.flatten(F.transform(both, lambda x: F.transform(x["t"], lambda token, i: one(x, token, i)))), "")
+
+
+def mark_cards(text: Column) -> Column:
+    """The text with marks around payment cards that are not inside of another entity."""
+    hits = F.regexp_extract_all(text, F.lit(f"({_BEFORE_CARDS})"), F.lit(1))
+    new = F.transform(hits, lambda e: F.when(e.rlike(f"^{_RUN}$"), _mark_run(e)).otherwise(e))
+    pieces = F.split(text, f"(?:{_BEFORE_CARDS})", -1)
+    return F.when(text.rlike(_RUN), F.array_join(F.zip_with(pieces, F.concat(new, F.array(F.lit(""))), lambda g, n: F.concat(g, n)), "")).otherwise(text)
 
 
 def _in_format(entity: Column, digits: Column) -> Column:
@@ -83,8 +115,7 @@ def _in_format(entity: Column, digits: Column) -> Column:
 
 def _same_classes(value: Column, stream: Column, hex_only: Column) -> Column:
     """Digits for digits, small and capital letters for such, hex digits for those of a hex number; the rest stays."""
-    pairs = F.zip_with(F.split(value, ""), F.regexp_extract_all(F.substring(stream, 1, 512), F.lit("(..)"), F.lit(1)), lambda c, h: F.struct(c.alias("c"), F.conv(h, 16, 10).cast("int").alias("v")))
-    pairs = F.filter(pairs, lambda p: p.c.isNotNull())
+    pairs = F.transform(F.split(value, ""), lambda c, i: F.struct(c.alias("c"), F.conv(F.substring(stream, i % 256 * 2 + 1, F.lit(2)), 16, 10).cast("int").alias("v")))
     pick = lambda letters, v: F.substring(F.lit(letters), v % len(letters) + 1, F.lit(1))
     low, up = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     one = lambda p: (
@@ -116,7 +147,7 @@ def _surrogate(kind: Column, canon: Column, stream: Column) -> Column:
     """The canonical surrogate of a canonical value (digits for numbers, lower case for addresses)."""
     numbers = F.translate(stream, "abcdef", "123456")
     octet = lambda k: F.conv(F.substring(stream, k, 2), 16, 10)
-    body = F.concat(F.substring(canon, 1, 1), F.substring(numbers, F.lit(1), F.length(canon) - 2))
+    body = F.concat(F.substring(canon, 1, 1), F.substring(F.repeat(numbers, F.floor(F.length(canon) / 512).cast("int") + 1), F.lit(1), F.length(canon) - 2))
     hex_only = canon.rlike("^[0-9a-f]+$")
     return (
         F.when(kind == "ip", F.concat_ws(".", (F.lit(240) + octet(1).cast("int") % 15).cast("string"), octet(3), octet(5), octet(7)))
@@ -214,7 +245,7 @@ def surrogate_map(entities: DataFrame, key: str = KEY) -> DataFrame:
     words = F.split(e, " ")
     full = F.concat_ws(" ", F.get(words, F.lit(0)), F.when(other.isNotNull(), cased(other, F.get(words, F.lit(1)))), cased(own, F.element_at(words, -1)))
     out = (
-        F.when(kind.isin("phone", "ssn", "card"), _in_format(e, _digits(own)))
+        F.when(kind.isin("phone", "ssn", "card"), _in_format(F.translate(e, _OPEN + _CLOSE, ""), _digits(own)))
         .when(kind == "email", F.concat(own, other))
         .when(kind == "name", full)
         .when(kind == "secret", F.concat(F.regexp_extract(e, "^(.*?)[A-Za-z0-9_/+-]+$", 1), own))
@@ -233,7 +264,8 @@ def replace_entities(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", te
     rest = docs.drop("n_entities", "kinds")
     fp = F.xxhash64(text_or_empty(text_col))
     doc = F.col(id_col).cast("long")
-    hits = F.regexp_extract_all(text_or_empty(text_col), F.lit(f"({ANY})"), F.lit(1))
+    marked = mark_cards(text_or_empty(text_col))
+    hits = F.regexp_extract_all(marked, F.lit(f"({ANY})"), F.lit(1))
     found = rest.select(doc.alias("_doc"), fp.alias("_fp"), F.posexplode_outer(hits).alias("_pos", "entity")).filter("_pos IS NOT NULL")
     found = materialize(found.distinct(), "pii-found")
     kinds = materialize(found.select("entity").distinct().withColumn("kind", _kind(F.col("entity"))).filter("kind IS NOT NULL"), "pii-kinds")
@@ -242,7 +274,7 @@ def replace_entities(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", te
     by_doc = looked_up.groupBy("_doc", "_fp").agg(F.sort_array(F.collect_list("x")).alias("_new"))
     own = rest.withColumns({"_id": doc, "_key": fp})
     joined = own.join(by_doc, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_fp")), "left")
-    pieces = F.split(F.col(text_col), f"(?:{ANY})", -1)
+    pieces = F.split(mark_cards(F.col(text_col)), f"(?:{ANY})", -1)
     text = F.array_join(F.zip_with(pieces, F.concat(F.transform("_new", lambda x: x["new"]), F.array(F.lit(""))), lambda g, n: F.concat(g, n)), "")
     known = F.filter(F.transform("_new", lambda x: x.kind), lambda k: k.isNotNull())
     return joined.select(

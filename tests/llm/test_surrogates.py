@@ -95,3 +95,13 @@ def test_surrogates_never_run_out(spark, docs_of, monkeypatch):
     rows += [(f"Mr Smith{a}", "name") for a in "abc"] + [(f"password={k}_______", "secret") for k in range(10)]
     found = {r.entity: r.surrogate for r in S.surrogate_map(spark.createDataFrame(rows, "entity string, kind string")).collect()}
     assert len(found) == len(rows) == len(set(found.values()))
+
+
+def test_cards_beside_digits_and_long_secrets(docs_of):
+    card = "4111 1111 1111 1111"
+    rows = [(1, "4111111111111111 12/26"), (2, f"12 {card}"), (3, f"{card} 4041 8949 7460 8795"), (4, "4111111111111111 123-45-6789"), (5, "token=" + "a1B2" * 100), (6, "1234567890123456 12")]
+    out = {r.doc_id: r for r in S.replace_entities(docs_of(rows)).collect()}
+    assert {k: r.kinds for k, r in out.items()} == {1: ["card"], 2: ["card"], 3: ["card", "card"], 4: ["card", "ssn"], 5: ["secret"], 6: []}
+    assert re.fullmatch(r"4\d{15} 12/26", out[1].text) and re.fullmatch(r"12 4\d{3}( \d{4}){3}", out[2].text) and out[6].text == rows[5][1]
+    assert luhn(out[1].text[:16]) and out[1].text[:16] == out[2].text[3:].replace(" ", "") == out[3].text[:19].replace(" ", "") == out[4].text[:16] != "4111111111111111"
+    assert re.fullmatch(r"token=([a-z][0-9][A-Z][0-9]){100}", out[5].text) and "a1B2a1B2" not in out[5].text
