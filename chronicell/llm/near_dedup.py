@@ -403,7 +403,7 @@ def _blockwise(open_: DataFrame, sets: DataFrame, usual: float, threshold: float
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row for each input row: doc_id, node (md5 of its text), class_id (smallest doc_id of its class).
+    """One row for each input row: doc_id, node (md5 of its text), class_id (smallest doc_id of its class), root.
 
     Candidates: ``bands`` bands of ``rows`` samples; two texts of similarity 0.8 share a band but for 1 case in 20,000.
     Links: in every bucket the smallest text is compared with all others. A bucket that still holds several classes goes
@@ -416,7 +416,8 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     copies are one text.
 
     Null texts count as empty; all empty texts are one class, as copies; a text of 1 to 4 words has one shingle.
-    Repeated rows are in one class. class_id is null where all ids of a class are. Empty tables give no rows.
+    Repeated rows are in one class. class_id is null where all ids of a class are; where ids are null or shared by
+    different texts only root (the smallest node) tells classes apart. Empty tables give no rows.
     """
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
@@ -460,16 +461,17 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     labels = roots.filter("node <> root")
     placed = signed.select("doc_id", "node").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classes = placed.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return placed.join(classes, "root").select("doc_id", "node", "class_id")
+    return placed.join(classes, "root").select("doc_id", "node", "class_id", "root")
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without all of a class but the row of its smallest id; all columns as they are."""
+    """The documents without all of a class but the row of its smallest id, null being the largest; all columns as they are."""
     found = near_duplicate_classes(docs, id_col, text_col)
-    kept = materialize(found.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_id").agg(F.min("node").alias("_kept")).withColumnRenamed("class_id", "_class"), "near-kept")
+    least = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("_least"))
+    kept = materialize(least.select(F.col("_least.doc_id").alias("_id"), F.col("_least.node").alias("_kept")), "near-kept")
     node = F.unhex(F.md5(text_or_empty(text_col).cast("binary")))
     keyed = docs.withColumn("_node", node)
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_class")) & (F.col("_node") == F.col("_kept"))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_node") == F.col("_kept"))
     return keyed.join(kept, same, "left_semi").dropDuplicates([id_col, "_node"]).drop("_node")
 
 

@@ -118,3 +118,10 @@ def test_sample_agreement_estimates_weighted_jaccard():
     at, n = np.array([0]), np.array([300])
     agree = (sampler.sample(h, np.log(wa), at, n) == sampler.sample(h, np.log(wb), at, n)).mean()
     assert abs(agree - np.minimum(wa, wb).sum() / np.maximum(wa, wb).sum()) < 0.08
+
+
+def test_classes_with_null_or_shared_ids_are_kept_apart(docs_of):
+    one, two, three, four = (" ".join(f"{c}{i}" for i in range(30)) for c in "abcd")
+    rows = [(None, one), (None, one + " end"), (None, two), (7, three), (7, four), (8, four + " end"), (9, one)]
+    kept = [(r.doc_id, r.text) for r in N.keep_one_of_each(docs_of(rows)).collect()]
+    assert sorted(kept, key=str) == sorted([(9, one), (None, two), (7, three), (7, four)], key=str)
