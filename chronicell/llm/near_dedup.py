@@ -23,6 +23,8 @@ from chronicell.llm.base import fewer_files, give_back_memory, materialize, smal
 from chronicell.llm.hashing import mix, shingle_hashes
 
 WIDTH, THRESHOLD = 5, 0.8
+#: Weights are kept as float32: a similarity that is less than the threshold by no more than this counts as equal to it.
+TOLERANCE = 1e-6
 BANDS, ROWS = 14, 3
 MIN_SHARE = 0.1
 #: Groups of at most so many texts compare every pair that is not in one class; larger ones go on as told below, in
@@ -188,8 +190,8 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     (ha, wa), (hb, wb) = a, b
     at = np.minimum(np.searchsorted(hb, ha), max(len(hb) - 1, 0))
     hit = hb[at] == ha if len(hb) else np.zeros(len(ha), bool)
-    common = float(np.minimum(wa[hit], wb[at[hit]]).sum()) if hit.any() else 0.0
-    total = float(wa.sum()) + float(wb.sum()) - common
+    common = float(np.minimum(wa[hit], wb[at[hit]]).sum(dtype=np.float64)) if hit.any() else 0.0
+    total = float(wa.sum(dtype=np.float64)) + float(wb.sum(dtype=np.float64)) - common
     return common / total if total else 0.0
 
 
@@ -275,8 +277,9 @@ def prefix_tokens(tokens: np.ndarray, weight: np.ndarray, often: np.ndarray, tim
         hit = often[at] == tokens
         count[hit] = times[at[hit]]
     order = np.lexsort((tokens, count))
-    left = float(weight.sum()) - np.cumsum(weight[order], dtype=np.float64)
-    n = min(len(order), int(np.count_nonzero(left >= threshold * float(weight.sum()) - 1e-4)) + 1)
+    total = float(weight.sum(dtype=np.float64))
+    left = total - np.cumsum(weight[order], dtype=np.float64)
+    n = min(len(order), int(np.count_nonzero(left >= threshold * total - 1e-4)) + 1)
     return tokens[order[:n]], left[:n] + weight[order[:n]]
 
 
@@ -421,6 +424,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
+    threshold -= TOLERANCE
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.unhex(F.md5(text_or_empty(text_col).cast("binary"))).alias("node"), text_or_empty(text_col).alias("text"))
     idf = common_idf(own.select("text"))
     usual = idf[2]
