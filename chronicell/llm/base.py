@@ -37,18 +37,31 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, label: str, narrow: bool = True) -> DataFrame:
     """Write to the shared folder and read again: cuts the lineage and survives the loss of any executor.
 
-    Unless ``narrow`` is false, several partitions share a file (see ``fewer_files``).
+    Unless ``narrow`` is false, several partitions share a file (see ``fewer_files``): for small tables after a shuffle.
+    Where a scan or heavy work comes before the write, ``narrow=False`` leaves its parallelism as it is.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     schema = df.schema
     (fewer_files(df) if narrow else df).write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def free(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote. Only for tables that no DataFrame will read again, a lost task's included:
+    what was made of them has to be written too."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fewer_files(df: DataFrame) -> DataFrame:
-    """For writing: a task and a file for eight shuffle partitions or so, at least one for each core. Shuffle partitions
-    are sized for memory; a file of one would be small, and creating it costs an executor more than writing it."""
+    """For writing small tables after a shuffle: a task and a file for eight shuffle partitions or so, at least one for
+    each core. Shuffle partitions are sized for memory; a file of one would be small, and creating it costs an executor
+    more than writing it."""
     spark = df.sparkSession
     return df.coalesce(max(spark.sparkContext.defaultParallelism, shuffle_width(spark) // 8))
 

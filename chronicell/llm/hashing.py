@@ -52,10 +52,14 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def shingle_hashes(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every shingle in order, number of shingles of each text); a text of fewer words but at least one forms
     one shingle of all its words."""
-    words, counts = word_hashes(texts)
+    return shingles_of(*word_hashes(texts), width)
+
+
+def shingles_of(words: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same from the hashes of words and the number of words of each text."""
     if not len(words):
         return words, counts
-    doc = np.repeat(np.arange(len(texts)), counts)
+    doc = np.repeat(np.arange(len(counts)), counts)
     place = np.arange(len(words)) - np.repeat(np.cumsum(counts) - counts, counts)
     padded = np.append(words, np.zeros(width, _U))
     left = np.repeat(counts, counts) - place  # words from here to the end of the text
@@ -63,5 +67,5 @@ def shingle_hashes(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarr
     for k in range(width):
         h = h * _U(0x9DDFEA08EB382D69) + np.where(left > k, padded[k : k + len(words)], _U(0))
     keep = (left >= width) | ((place == 0) & (left < width))
-    n = np.bincount(doc[keep], minlength=len(texts))
+    n = np.bincount(doc[keep], minlength=len(counts))
     return mix(h[keep]), n

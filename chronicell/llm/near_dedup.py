@@ -1,11 +1,12 @@
 """Near-duplicates: improved consistent weighted sampling over TF-IDF shingles, banded, verified by weighted Jaccard.
 
-A document is the weighted set of its 5-word shingles, weight = count in the document x idf. idf = ln(1 + N / df), with
-df / N taken as at least MIN_SHARE: shingles in under a tenth of the documents all weigh the same per occurrence, so
-that only what much of the corpus shares (licences, boilerplate) counts for less, a group of near copies does not
-depress its own similarity, and the table of other idf values is bounded by (mean shingles) / MIN_SHARE entries
-whatever the corpus. Two documents are linked at a weighted Jaccard similarity of at least 0.8; classes are the
-connected components of the links; equal texts are one node.
+A document is the weighted set of its 5-word shingles; the weight of a shingle is its count in the document times its
+idf. The idf of a shingle is the mean of its words' idf, ln(1 + N / df), with df counted over all N documents by the
+hashing trick: one exact count for each of BUCKETS hash values of words, so the table has one size whatever the corpus.
+(A shingle's own df would say how often its text was copied: in a group of a thousand near copies what they share would
+weigh a third of what tells them apart, and the group would fall apart.) Weights are whole numbers, in units of
+1 / IDF_UNIT, so sums and the comparison with the threshold are exact. Two documents are linked at a weighted Jaccard
+similarity of at least 0.8; classes are the connected components of the links; equal texts are one node.
 """
 
 from __future__ import annotations
@@ -19,20 +20,21 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronicell.llm.base import fewer_files, give_back_memory, materialize, small_batches, table, text_or_empty
-from chronicell.llm.hashing import mix, shingle_hashes
+from chronicell.llm.base import free, give_back_memory, materialize, small_batches, table, text_or_empty
+from chronicell.llm.hashing import mix, shingles_of, word_hashes
 
 WIDTH, THRESHOLD = 5, 0.8
-#: Weights are kept as float32: a similarity that is less than the threshold by no more than this counts as equal to it.
-TOLERANCE = 1e-6
 BANDS, ROWS = 14, 3
-MIN_SHARE = 0.1
+#: Hash values of words that have a document frequency each: the size of what is collected and broadcast.
+BUCKETS = 1 << 18
+#: Weights are multiples of 1 / IDF_UNIT, the mean of whole multiples of 1 / WORD_UNIT, rounded; an idf of up to
+#: 255 / IDF_UNIT = 31.9 (N / df = 7e13) has a weight of its own.
+IDF_UNIT, WORD_UNIT = 8, 1024
 #: Groups of at most so many texts compare every pair that is not in one class; larger ones go on as told below, in
 #: blocks of so many texts.
 SMALL_BUCKET, BLOCK = 32, 1000
 #: In the prefix filter, tokens in at least this share of the sets come last.
 OFTEN = 0.005
-_HELD = 500_000  # shingles that a worker holds before it reports
 _SLICE = 1 << 19  # bytes of text that are hashed at a time: the arrays then stay in a core's cache
 _U = np.uint64
 
@@ -50,74 +52,51 @@ def _sliced(texts: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
             size += int(sizes[k])
 
 
-# --- document frequencies of what much of the corpus shares
+# --- document frequencies
 
 
-def _reported(parts: list, share: float) -> pa.RecordBatch:
-    h, n = (np.concatenate(x) for x in zip(*parts))
-    found, times = np.unique(h, return_counts=True)
-    often = found[times >= share / 2 * len(n)]
-    hit = np.isin(h, often)
-    pairs = np.unique(np.stack([h[hit], np.repeat(np.arange(len(n)), n)[hit].astype(_U)], 1), axis=0)
-    value, df = np.unique(pairs[:, 0], return_counts=True)
-    keep = df >= share / 2 * len(n)
-    return pa.RecordBatch.from_arrays([pa.array(value[keep].view(np.int64)), pa.array(df[keep])], ["h", "df"])
+def word_buckets(words: np.ndarray) -> np.ndarray:
+    return (words >> _U(64 - (BUCKETS - 1).bit_length())).astype(np.int64)
 
 
-def _local_candidates(share: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list = []
-        held = 0
-        for batch in batches:
-            for _, _, texts in _sliced(batch.column("text")):
-                parts.append(shingle_hashes(texts, WIDTH))
-                held += len(parts[-1][0])
-                if held >= _HELD:
-                    yield _reported(parts, share)
-                    parts, held = [], 0
-        if parts:
-            yield _reported(parts, share)
-        give_back_memory()
-
-    return run
-
-
-def _count_candidates(candidates):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = candidates.value
-        total = np.zeros(len(wanted), np.int64)
-        for batch in batches:
-            for lo, hi, texts in _sliced(batch.column("text")):
-                h, n = shingle_hashes(texts, WIDTH)
-                at = np.searchsorted(wanted, h)
-                hit = wanted[np.minimum(at, len(wanted) - 1)] == h
-                doc = np.repeat(np.arange(hi - lo), n)[hit]
-                once = np.unique(doc * len(wanted) + at[hit])
-                total += np.bincount(once % len(wanted), minlength=len(wanted))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(wanted[some].view(np.int64)), pa.array(total[some])], ["h", "df"])
-
-    return run
-
-
-def common_idf(texts: DataFrame, share: float = MIN_SHARE) -> tuple[np.ndarray, np.ndarray, float]:
-    """(hashes, sorted; their idf; the idf of all other shingles). Exact, in two passes.
-
-    A run of documents reports the shingles in at least share / 2 of them. A shingle in at least ``share`` of all
-    documents misses less than half of its count that way, so its reports add up to at least share / 2 of all; at most
-    2 x (mean shingles) / share shingles do, which bounds what the driver gets. Those are then counted exactly.
-    """
-    spark, n_docs = texts.sparkSession, texts.count()
-    rest = float(np.log1p(1 / share))
-    reported = texts.mapInArrow(_local_candidates(share), "h bigint, df bigint").groupBy("h").agg(F.sum("df").alias("df"))
-    rows = reported.filter(F.col("df") >= share / 2 * n_docs).select("h").collect()
-    wanted = np.sort(np.array([r.h for r in rows], np.int64).view(_U))
-    if not len(wanted):
-        return wanted, np.zeros(0), rest
-    sent = spark.sparkContext.broadcast(wanted)
-    counted = texts.mapInArrow(_count_candidates(sent), "h bigint, df bigint").groupBy("h").agg(F.sum("df").alias("df"))
-    known = sorted((np.int64(r.h).astype(_U), r.df) for r in counted.filter(F.col("df") >= share * n_docs).collect())
-    return np.array([h for h, _ in known], _U), np.log1p(n_docs / np.array([d for _, d in known], float)), rest
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(BUCKETS, np.int64)
+    for batch in batches:
+        for lo, hi, texts in _sliced(batch.column("text")):
+            words, n = word_hashes(texts)
+            once = np.unique(np.repeat(np.arange(hi - lo), n) * BUCKETS + word_buckets(words))
+            total += np.bincount(once % BUCKETS, minlength=BUCKETS)
+    some = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["bucket", "df"])
+    give_back_memory()
+
+
+def word_idf(texts: DataFrame) -> np.ndarray:
+    """The idf of each of the BUCKETS hash values of words, from all documents (text), in units of 1 / WORD_UNIT; what no
+    word has is as rare as can be."""
+    n_docs = texts.count()
+    found = texts.mapInArrow(_count_words, "bucket int, df bigint").groupBy("bucket").agg(F.sum("df").alias("df")).toArrow()
+    df = np.ones(BUCKETS)
+    df[found.column("bucket").to_numpy()] = found.column("df").to_numpy()
+    return np.rint(np.log1p(n_docs / df) * WORD_UNIT).astype(np.int64)
+
+
+def weighted_shingles(texts: list[bytes], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, weights, their number for each text): the weighted set of each text, one after another, each sorted."""
+    words, counts = word_hashes(texts)
+    h, n = shingles_of(words, counts, WIDTH)
+    if not len(h):
+        return h, np.zeros(0, np.int64), n
+    sums = np.append(0, np.cumsum(idf[word_buckets(words)]))
+    starts = np.cumsum(counts) - counts
+    first = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts, n)
+    width = np.minimum(np.repeat(counts, n), WIDTH)
+    per = WORD_UNIT // IDF_UNIT * width
+    unit = np.clip((2 * (sums[first + width] - sums[first]) + per) // (2 * per), 1, 255)
+    order = np.lexsort((h, np.repeat(np.arange(len(n)), n)))
+    h, unit, doc = h[order], unit[order], np.repeat(np.arange(len(n)), n)
+    new = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])))
+    return h[new], np.add.reduceat(unit, new), np.bincount(doc[new], minlength=len(n))
 
 
 # --- signatures
@@ -166,86 +145,87 @@ class Sampler:
         return out
 
 
-def pack(h: np.ndarray, weight: np.ndarray, usual: float) -> bytes:
-    """A weighted set as bytes: 32 bits of each sorted hash, as differences by byte planes, and the unusual weights."""
+def pack(h: np.ndarray, weight: np.ndarray) -> bytes:
+    """A weighted set as bytes: 32 bits of each sorted hash, as differences by byte planes, and the weights."""
     short = (h >> _U(32)).astype(np.uint32)
-    odd = np.flatnonzero(np.abs(weight - usual) > 1e-9).astype(np.uint32)
+    large = np.flatnonzero(weight > 255).astype(np.uint32)
     planes = np.diff(short, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
-    raw = np.array([len(h), len(odd)], np.uint32).tobytes() + planes + odd.tobytes() + weight[odd].astype(np.float32).tobytes()
+    raw = np.array([len(h), len(large)], np.uint32).tobytes() + planes + weight.astype(np.uint8).tobytes() + large.tobytes() + weight[large].astype(np.int64).tobytes()
     return zstandard.compress(raw, 1)
 
 
-def unpack(data: bytes, usual: float) -> tuple[np.ndarray, np.ndarray]:
+def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     raw = zstandard.decompress(data)
     n, m = np.frombuffer(raw, np.uint32, 2).tolist()
     planes = np.frombuffer(raw, np.uint8, 4 * n, 8).reshape(4, n)
     short = np.cumsum(np.ascontiguousarray(planes.T).view(np.uint32).ravel(), dtype=np.uint32)
-    weight = np.full(n, usual, np.float32)
-    weight[np.frombuffer(raw, np.uint32, m, 8 + 4 * n)] = np.frombuffer(raw, np.float32, m, 8 + 4 * n + 4 * m)
+    weight = np.frombuffer(raw, np.uint8, n, 8 + 4 * n).astype(np.int64)
+    weight[np.frombuffer(raw, np.uint32, m, 8 + 5 * n)] = np.frombuffer(raw, np.int64, m, 8 + 5 * n + 4 * m)
     return short, weight
 
 
-def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Sum of the smaller weights over the sum of the larger ones; 0 for two empty sets."""
+def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[int, int]:
+    """(sum of the smaller weights, sum of the larger ones); 0 and 0 for two empty sets."""
     (ha, wa), (hb, wb) = a, b
     at = np.minimum(np.searchsorted(hb, ha), max(len(hb) - 1, 0))
     hit = hb[at] == ha if len(hb) else np.zeros(len(ha), bool)
-    common = float(np.minimum(wa[hit], wb[at[hit]]).sum(dtype=np.float64)) if hit.any() else 0.0
-    total = float(wa.sum(dtype=np.float64)) + float(wb.sum(dtype=np.float64)) - common
-    return common / total if total else 0.0
+    common = int(np.minimum(wa[hit], wb[at[hit]]).sum()) if hit.any() else 0
+    return common, int(wa.sum()) + int(wb.sum()) - common
+
+
+def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], threshold: float) -> bool:
+    common, union = weighted_jaccard(a, b)
+    return common > 0 and common >= threshold * union
 
 
 def _signatures(idf, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, value, usual = idf.value
         sampler = Sampler(bands * rows)
         salt = mix(np.arange(1, bands + 1, dtype=_U))
         for batch in batches:
-            nodes, ids = batch.column("node").to_pylist(), batch.column("doc_id")
             first: dict[bytes, int] = {}
-            own = [first.setdefault(x, len(first)) for x in nodes]  # equal texts of a batch are sampled once
+            own = [first.setdefault(x, len(first)) for x in batch.column("node").to_pylist()]  # equal texts of a batch are sampled once
             pick = sorted({x: k for k, x in reversed(list(enumerate(own)))}.values())
-            keys: list = []
-            packed: list[bytes] = []
+            mine: list = [None] * batch.num_rows
             for lo, hi, texts in _sliced(batch.column("text").take(pa.array(pick, pa.int32()))):
-                h, n = shingle_hashes(texts, WIDTH)
-                sets = [np.unique(x, return_counts=True) for x in np.split(h, np.cumsum(n)[:-1])]
-                h, tf = (np.concatenate(x) for x in zip(*sets))
-                counts = np.array([len(x) for x, _ in sets])
-                weight = np.full(len(h), usual)
-                if len(common):
-                    at = np.minimum(np.searchsorted(common, h), len(common) - 1)
-                    hit = common[at] == h
-                    weight[hit] = value[at[hit]]
-                weight *= tf
-                ends = np.cumsum(counts)
-                packed += [pack(h[e - c : e], weight[e - c : e], usual) for e, c in zip(ends, counts)]
+                h, weight, counts = weighted_shingles(texts, idf.value)
                 full = np.flatnonzero(counts)
-                mine: list = [[]] * (hi - lo)
                 if len(full):
+                    ends = np.cumsum(counts)
                     samples = sampler.sample(h, np.log(weight), (ends - counts)[full], counts[full]).reshape(len(full), bands, rows)
                     key = np.broadcast_to(salt, (len(full), bands))
                     for k in range(rows):
                         key = mix(key * _U(0x9E3779B97F4A7C15) + samples[:, :, k])
                     for k, row in zip(full.tolist(), key.view(np.int64).tolist()):
-                        mine[k] = row
-                keys += mine
-            once = set()
-            blobs = [None if x in once or once.add(x) else packed[x] for x in own]
-            yield pa.RecordBatch.from_arrays([ids, batch.column("node"), pa.array([keys[x] if b is not None else None for x, b in zip(own, blobs)], pa.list_(pa.int64())), pa.array(blobs, pa.binary())], ["doc_id", "node", "keys", "packed"])
+                        mine[pick[lo + k]] = row
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("node"), pa.array(mine, pa.list_(pa.int64()))], ["doc_id", "node", "keys"])
+        give_back_memory()
+
+    return run
+
+
+def _packed(idf):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed: list[bytes] = []
+            for _, _, texts in _sliced(batch.column("text")):
+                h, weight, counts = weighted_shingles(texts, idf.value)
+                ends = np.cumsum(counts)
+                packed += [pack(h[e - c : e], weight[e - c : e]) for e, c in zip(ends, counts)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(packed, pa.binary())], ["node", "packed"])
         give_back_memory()
 
     return run
 
 
-def _verify(usual: float, threshold: float):
+def _verify(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, last, left = [], None, None
             for a, x, y in zip(*(batch.column(c) for c in ("a", "packed_a", "packed_b"))):  # one row's sets at a time
                 if a != last:
-                    last, left = a, unpack(x.as_py(), usual)
-                keep.append(weighted_jaccard(left, unpack(y.as_py(), usual)) >= threshold)
+                    last, left = a, unpack(x.as_py())
+                keep.append(similar(left, unpack(y.as_py()), threshold))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
         give_back_memory()
 
@@ -258,7 +238,7 @@ def _verify(usual: float, threshold: float):
 def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            tokens = np.concatenate([unpack(x, 1.0)[0] for x in batch.column("packed").to_pylist()])
+            tokens = np.concatenate([unpack(x)[0] for x in batch.column("packed").to_pylist()])
             token, n = np.unique(tokens, return_counts=True)
             keep = n >= max(4, OFTEN * batch.num_rows)
             yield pa.RecordBatch.from_arrays([pa.array(token[keep].astype(np.int64)), pa.array(n[keep])], ["key", "n"])
@@ -283,10 +263,10 @@ def prefix_tokens(tokens: np.ndarray, weight: np.ndarray, often: np.ndarray, tim
     return tokens[order[:n]], left[:n] + weight[order[:n]]
 
 
-def _prefixes(often, usual: float, threshold: float):
+def _prefixes(often, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [prefix_tokens(*unpack(x, usual), *often.value, threshold) for x in batch.column("packed").to_pylist()]
+            found = [prefix_tokens(*unpack(x), *often.value, threshold) for x in batch.column("packed").to_pylist()]
             take = pa.array(np.repeat(np.arange(len(found)), [len(x) for x, _ in found]), pa.int32())
             tokens, left = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0), np.zeros(0))
             shared = np.minimum(left, batch.column("shared").take(take).to_numpy())
@@ -295,18 +275,15 @@ def _prefixes(often, usual: float, threshold: float):
     return run
 
 
-def _weights(usual: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [unpack(x, usual) for x in batch.column("packed").to_pylist()]
-            take = pa.array(np.repeat(np.arange(len(found)), [len(x) for x, _ in found]), pa.int32())
-            tokens, weight = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0), np.zeros(0))
-            yield pa.RecordBatch.from_arrays([pa.array(tokens.astype(np.int64)), batch.column("node").take(take), pa.array(weight.astype(np.float64))], ["key", "node", "w"])
-
-    return run
+def _weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [unpack(x) for x in batch.column("packed").to_pylist()]
+        take = pa.array(np.repeat(np.arange(len(found)), [len(x) for x, _ in found]), pa.int32())
+        tokens, weight = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0), np.zeros(0))
+        yield pa.RecordBatch.from_arrays([pa.array(tokens.astype(np.int64)), batch.column("node").take(take), pa.array(weight.astype(np.float64))], ["key", "node", "w"])
 
 
-def prefix_groups(sets: DataFrame, usual: float, threshold: float) -> DataFrame:
+def prefix_groups(sets: DataFrame, threshold: float) -> DataFrame:
     """(key, node, total, shared, n): the sets (node, packed) by the tokens of their prefixes, as far as they can be
     similar to another set of their group; total is a set's weight, shared the most that it can have in common with a
     set that it meets at this token first: the weight from this token on, or that of its tokens that other sets have too.
@@ -319,12 +296,12 @@ def prefix_groups(sets: DataFrame, usual: float, threshold: float) -> DataFrame:
     rows = sets.mapInArrow(_often, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= OFTEN / 2 * n).collect()
     rows = sorted((r.key, r.n) for r in rows)
     often = sets.sparkSession.sparkContext.broadcast((np.array([k for k, _ in rows], np.uint32), np.array([m for _, m in rows], np.int64)))
-    weights = materialize(sets.mapInArrow(_weights(usual), "key bigint, node binary, w double"), "near-weights")
+    weights = materialize(sets.mapInArrow(_weights, "key bigint, node binary, w double"), "near-weights")
     alone = weights.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.min("w").alias("w")).filter("n = 1").groupBy("node").agg(F.sum("w").alias("alone"))
     total = weights.groupBy("node").agg(F.sum("w").alias("total")).join(alone, "node", "left")
     stats = total.select("node", "total", (F.col("total") - F.coalesce("alone", F.lit(0.0))).alias("shared"))
     weighed = sets.select("node", "packed").join(materialize(stats, "near-stats"), "node")
-    tokens = materialize(weighed.mapInArrow(_prefixes(often, usual, threshold), "key bigint, node binary, total double, shared double"), "near-prefixes")
+    tokens = materialize(weighed.mapInArrow(_prefixes(often, threshold), "key bigint, node binary, total double, shared double"), "near-prefixes")
     least = tokens.groupBy("key").agg(F.min("total").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
     # A similar set weighs at least threshold times as much, and at least as much as the lightest of the group.
     other = F.greatest("least", threshold * F.col("total"))
@@ -346,13 +323,16 @@ def connected_components(links: DataFrame, label: str) -> DataFrame:
     both = materialize(links.select("a", "b").union(links.select("b", "a")).distinct(), f"{label}-links")
     roots = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("root")), f"{label}-roots")
     while True:
-        near = both.join(roots.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        low = roots.join(near, "node").select("node", "root", F.least("root", "near").alias("low"))
+        near = both.join(roots.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
+        low = roots.select("node", "root").join(near, "node").select("node", "root", F.least("root", "near").alias("low"))
         up = roots.select(F.col("node").alias("low"), F.col("root").alias("up"))
         moved = materialize(low.join(up, "low").select("node", F.least("low", "up").alias("root"), (F.least("low", "up") < F.col("root")).alias("moved")), f"{label}-roots")
-        if moved.filter("moved").isEmpty():
-            return moved.select("node", "root")
-        roots = moved.select("node", "root")
+        settled = moved.filter("moved").isEmpty()
+        free(roots)
+        if settled:
+            free(both)
+            return moved
+        roots = moved
 
 
 def _mixed(groups: DataFrame, roots: DataFrame, label: str) -> DataFrame:
@@ -373,17 +353,17 @@ def _pairs(left: DataFrame, right: DataFrame, condition: str, threshold: float =
     return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _compare(usual: float, threshold: float):
+def _compare(threshold: float):
     def run(query: pa.Table, block: pa.Table) -> pa.Table:
         names, roots = block.column("node").to_pylist(), np.array(block.column("root").to_pylist(), object)
-        sets = [unpack(x, usual) for x in block.column("packed").to_pylist()]
+        sets = [unpack(x) for x in block.column("packed").to_pylist()]
         total, shared = block.column("total").to_numpy(), block.column("shared").to_numpy()
         out = []
         for q in query.to_pylist():
-            own, linked = unpack(q["packed"], usual), {q["root"]}
+            own, linked = unpack(q["packed"]), {q["root"]}
             able = (1 + threshold) * np.minimum(shared, q["shared"]) >= threshold * (total + q["total"]) - 1e-3
             for k in np.flatnonzero(able).tolist():
-                if roots[k] not in linked and weighted_jaccard(own, sets[k]) >= threshold:
+                if roots[k] not in linked and similar(own, sets[k], threshold):
                     out.append((q["node"], names[k]))
                     linked.add(roots[k])
         return pa.table([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())], ["a", "b"])
@@ -391,7 +371,7 @@ def _compare(usual: float, threshold: float):
     return run
 
 
-def _blockwise(open_: DataFrame, sets: DataFrame, usual: float, threshold: float) -> DataFrame:
+def _blockwise(open_: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Links between classes of large groups: the texts outside of a group's largest class, as queries, against all of
     the group in blocks of BLOCK. Every pair of different classes has a side outside of the largest; one link to a class
     is enough, so a query skips the rest of a class that it is linked to. Only links come out."""
@@ -402,7 +382,7 @@ def _blockwise(open_: DataFrame, sets: DataFrame, usual: float, threshold: float
     cols = ["key", "block", "node", "root", "total", "shared", "packed"]
     queries = full.filter("root <> largest").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select(*cols)
     blocks = full.withColumn("block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")).select(*cols)
-    return queries.groupBy("key", "block").cogroup(blocks.groupBy("key", "block")).applyInArrow(_compare(usual, threshold), "a binary, b binary").distinct()
+    return queries.groupBy("key", "block").cogroup(blocks.groupBy("key", "block")).applyInArrow(_compare(threshold), "a binary, b binary").distinct()
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -418,66 +398,76 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     inside a class, which would change nothing, are not looked for. Pairs are made by joins that split hot groups;
     copies are one text.
 
+    Only sample keys are written for every document; texts are shuffled once, one of each kind of copies for each task,
+    and only those that share a bucket with another are kept, as weighted sets. Tables that have served are deleted.
+
     Null texts count as empty; all empty texts are one class, as copies; a text of 1 to 4 words has one shingle.
     Repeated rows are in one class. class_id is null where all ids of a class are; where ids are null or shared by
     different texts only root (the smallest node) tells classes apart. Empty tables give no rows.
     """
     small_batches(docs.sparkSession)
-    spark = docs.sparkSession
-    threshold -= TOLERANCE
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.unhex(F.md5(text_or_empty(text_col).cast("binary"))).alias("node"), text_or_empty(text_col).alias("text"))
-    idf = common_idf(own.select("text"))
-    usual = idf[2]
-    sent = spark.sparkContext.broadcast(idf)
-    signed = materialize(fewer_files(own).mapInArrow(_signatures(sent, bands, rows), "doc_id bigint, node binary, keys array<bigint>, packed binary"), "near-signatures", narrow=False)
-    keyed = signed.filter("keys IS NOT NULL").select("node", F.explode_outer("keys").alias("key")).filter("key IS NOT NULL").distinct()
+    idf = docs.sparkSession.sparkContext.broadcast(word_idf(own.select("text")))
+    signed = materialize(own.mapInArrow(_signatures(idf, bands, rows), "doc_id bigint, node binary, keys array<bigint>"), "near-signatures", narrow=False)
+    keyed = signed.filter("keys IS NOT NULL").select("node", "keys").dropDuplicates(["node"]).select("node", F.explode("keys").alias("key"))
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("leader")).filter("n > 1")
     buckets = materialize(keyed.join(sizes, "key"), "near-buckets")
     wanted = buckets.select("node").distinct()
-    sets = materialize(signed.filter("packed IS NOT NULL").select("node", "packed").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "near-sets")
+    texts = own.groupBy("node").agg(F.first("text").alias("text"))
+    sets = materialize(texts.join(wanted, "node").select("node", "text").mapInArrow(_packed(idf), "node binary, packed binary"), "near-sets", narrow=False)
 
     def verified(pairs: DataFrame, label: str) -> DataFrame:
         left, right = (sets.select(F.col("node").alias(c), F.col("packed").alias(f"packed_{c}")) for c in "ab")
         joined = pairs.join(right, "b").join(left, "a").select("a", "b", "packed_a", "packed_b")
-        return materialize(fewer_files(joined).mapInArrow(_verify(usual, threshold), "a binary, b binary"), label, narrow=False)
+        return materialize(joined.mapInArrow(_verify(threshold), "a binary, b binary"), label)
 
     links = verified(buckets.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "near-links-0")
     roots = connected_components(links, "near-0")
     open_ = _mixed(buckets.drop("leader"), roots, "near-open-0")
+    free(buckets)
     size = f"n <= {SMALL_BUCKET}"
     small = open_.filter(size)
     pairs = _pairs(small, small, "a < b AND root_a <> root_b")
     large = open_.filter(f"NOT ({size})").select("node").distinct()
     groups = None
     if not large.isEmpty():
-        groups = prefix_groups(sets.join(large, "node", "left_semi"), usual, threshold)
-        open_ = _mixed(groups, roots, "near-open-1")
-        small = open_.filter(size)
+        groups = prefix_groups(sets.join(large, "node", "left_semi"), threshold)
+        again = _mixed(groups, roots, "near-open-1")
+        small = again.filter(size)
         pairs = pairs.unionByName(_pairs(small, small, "a < b AND root_a <> root_b", threshold)).distinct()
         groups = groups.filter(f"NOT ({size})")
     links = links.unionByName(verified(pairs, "near-links-1"))
+    free(open_, roots)
     roots = connected_components(links, "near-1")
     if groups is not None:
-        found = _blockwise(_mixed(groups, roots, "near-open-2"), sets, usual, threshold)
+        found = _blockwise(_mixed(groups, roots, "near-open-2"), sets, threshold)
         links = links.unionByName(materialize(found, "near-links-2"))
+        free(roots)
         roots = connected_components(links, "near-2")
+    free(sets)
 
-    labels = roots.filter("node <> root")
-    placed = signed.select("doc_id", "node").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    classes = placed.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return placed.join(classes, "root").select("doc_id", "node", "class_id", "root")
+    # A text's smallest id, then a class's, each a partial aggregate; hot texts and classes meet them in plain joins.
+    ids = signed.groupBy("node").agg(F.min("doc_id").alias("least")).join(roots.select("node", "root"), "node", "left")
+    ids = materialize(ids.withColumn("root", F.coalesce("root", "node")), "near-ids")
+    classes = materialize(ids.groupBy("root").agg(F.min("least").alias("class_id")), "near-classes")
+    placed = materialize(ids.select("node", "root").join(classes, "root"), "near-placed")
+    free(ids, classes, roots)
+    return signed.select("doc_id", "node").join(placed, "node").select("doc_id", "node", "class_id", "root")
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without all of a class but the row of its smallest id, null being the largest; all columns as they are."""
+    """The documents without all of a class but the row of its smallest id, null being the largest; all columns as they are.
+
+    Classes are told apart by root, so that texts whose ids are null or shared by other texts are kept, each class once.
+    Repeated rows (one id, one text) are one row afterwards.
+    """
     found = near_duplicate_classes(docs, id_col, text_col)
     least = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("_least"))
     kept = materialize(least.select(F.col("_least.doc_id").alias("_id"), F.col("_least.node").alias("_kept")), "near-kept")
-    node = F.unhex(F.md5(text_or_empty(text_col).cast("binary")))
-    keyed = docs.withColumn("_node", node)
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_node") == F.col("_kept"))
-    return keyed.join(kept, same, "left_semi").dropDuplicates([id_col, "_node"]).drop("_node")
+    keyed = docs.withColumns({"_node": F.unhex(F.md5(text_or_empty(text_col).cast("binary"))), "_key": F.col(id_col).cast("long")})
+    once = keyed.dropDuplicates(["_key", "_node"])
+    return once.join(kept, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_node") == F.col("_kept")), "left_semi").drop("_node", "_key")
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicate_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+    return near_duplicate_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", F.hex("root").alias("class_root"))
