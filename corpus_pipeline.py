@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronicell.llm.base import fewer_files, materialize
+from chronicell.llm.base import materialize
 from chronicell.llm.byte_bpe import RANKS, encode_and_decode
 from chronicell.llm.decontaminate import drop_contaminated
 from chronicell.llm.line_dedup import drop_repeated_lines
@@ -23,7 +23,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def _with_text(docs: DataFrame, text: str) -> DataFrame:
     """The columns of documents with another text; n_chars follows it."""
     new = docs.withColumn("text", F.col(text)).withColumn("n_chars", F.length("text").cast("long"))
-    return fewer_files(new.select(*COLUMNS))
+    return new.select(*COLUMNS)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,18 +38,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near copies, the document with the smallest id stays."""
-    return fewer_files(keep_one_of_each(docs.select(*COLUMNS)))
+    return keep_one_of_each(docs.select(*COLUMNS))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return fewer_files(drop_contaminated(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    return drop_contaminated(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_chars, n_tokens, ids, ids_sha256, decoded_sha256: the ids, and what they decode to."""
     path = public_tokenizers.path(RANKS)
-    decoded = encode_and_decode(fewer_files(docs.select(*COLUMNS)), path)
+    decoded = encode_and_decode(docs.select(*COLUMNS), path)
     return decoded.select("doc_id", "lang", "source", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
@@ -67,5 +67,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}", narrow=False)
     return STAGES[-1][1](spark, docs, sf_dir)
