@@ -21,8 +21,8 @@ from chronicell.llm.base import materialize, table
 RULES = (
     ("block", "com/en/"),
     ("allow", "example.com/en/7"),
-    ("block", "net/de/"),
-    ("allow", "example.net/de/8"),
+    ("allow", "net/de/"),
+    ("block", "example.net/de/8"),
     ("block", "org/es/"),
 )
 BLOCK_WORDS = ("ads", "adult", "betting", "casino", "jackpot", "malware", "phishing", "pills", "poker", "porn", "spam", "tracker", "track", "viagra", "xxx")

@@ -10,8 +10,8 @@ URLS = [
     ("https://A.Example.COM/en/7x?q", "a.example.com", "/en/7x", "example.com/en/7", "allow"),
     ("http://example.com/en/8", "example.com", "/en/8", "com/en/", "block"),
     ("http://myexample.com/en/7", "myexample.com", "/en/7", "com/en/", "block"),
-    ("ftp://x.example.net/de/81#t", "x.example.net", "/de/81", "example.net/de/8", "allow"),
-    ("http://x.net/de/", "x.net", "/de/", "net/de/", "block"),
+    ("ftp://x.example.net/de/81#t", "x.example.net", "/de/81", "example.net/de/8", "block"),
+    ("http://x.net/de/", "x.net", "/de/", "net/de/", "allow"),
     ("http://x.net/de", "x.net", "/de", None, None),
     ("http://org/es/?a", "org", "/es/", "org/es/", "block"),
     ("://only.org?x=/es/", "only.org", "", None, None),
