@@ -1,7 +1,8 @@
 """URL filter: rules first; where none fits, multinomial naive Bayes over words that unigram Viterbi finds in the URL.
 
 Nothing labels URLs, so the classifier is trained on weak labels: a URL counts as one to block when a word of its
-segmented host is in BLOCK_WORDS, and what goes along with those words is learned from all pages.
+segmented host is a seed word, and what goes along with those words in hosts and paths is learned from all pages: a host
+without a seed word is blocked if its other words are mostly found beside seed words.
 """
 
 from __future__ import annotations
@@ -25,9 +26,19 @@ RULES = (
     ("block", "example.net/de/8"),
     ("block", "org/es/"),
 )
-BLOCK_WORDS = ("ads", "adult", "betting", "casino", "jackpot", "malware", "phishing", "pills", "poker", "porn", "spam", "tracker", "track", "viagra", "xxx")
-#: BLOCK_WORDS have at least this share of all occurrences in the lexicon. Longer words than MAX_WORD letters are not in it.
-MIN_SHARE, MAX_WORD = 1e-5, 40
+# Seed words by kind of site: gambling, adult, pharmacy spam, malware and phishing, advertising and tracking.
+BLOCK_WORDS = (
+    "bet", "bets", "betting", "blackjack", "bookmaker", "casino", "casinos", "gambling", "jackpot", "lottery", "poker", "roulette", "slots", "wager",
+    "adult", "camgirl", "escort", "hentai", "nsfw", "porn", "porno", "sex", "xxx",
+    "cialis", "pharmacy", "pills", "steroids", "viagra",
+    "crack", "keygen", "malware", "phishing", "ransomware", "spyware", "trojan", "virus", "warez",
+    "ad", "ads", "adserver", "advert", "banner", "clickbait", "popup", "spam", "track", "tracker", "tracking",
+)
+#: Seed words have at least this share of all occurrences in the lexicon.
+MIN_SHARE = 1e-5
+#: Words of the lexicon that are longer count as unknown. Runs of letters are cut to pieces of so many (a host has at
+#: most 253), each of which is segmented whole, so that a run's parts stay in proportion to its length.
+MAX_WORD, MAX_RUN = 40, 256
 _HELD = 50_000  # parts of runs that a worker holds before it sends them on
 
 
@@ -93,7 +104,7 @@ _SPLIT = re.compile(r"[\W\d_]+")
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds the delimited runs of letters of the host and of the path."""
     for batch in batches:
-        found = [pa.array([[run for run in _SPLIT.split(x.lower()) if run] for x in batch.column(c).to_pylist()], pa.list_(pa.string())) for c in ("host", "path")]
+        found = [pa.array([[run[k : k + MAX_RUN] for run in _SPLIT.split(x.lower()) for k in range(0, len(run), MAX_RUN)] for x in batch.column(c).to_pylist()], pa.list_(pa.string())) for c in ("host", "path")]
         yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=[*batch.schema.names, "host_runs", "path_runs"])
 
 
@@ -140,26 +151,30 @@ def segment_runs(runs: DataFrame, counts: DataFrame, extra: Sequence[str] = BLOC
 
 @dataclass
 class NaiveBayes:
-    """Log odds of block against allow: a prior and one term for each token occurrence, add-one smoothed.
+    """Log odds of block against allow: a prior and one term for each token occurrence.
 
-    ``terms`` is a table (t, term) of all tokens.
+    ``terms`` is a table (t, term) of all tokens; a token that was never seen says nothing.
     """
 
     prior: float
     terms: DataFrame
-    unseen: float
 
     def log_odds(self, tokens: Sequence[str]) -> float:
         found = {r.t: r.term for r in self.terms.filter(F.col("t").isin(sorted(set(tokens)))).collect()}
-        return self.prior + sum(found.get(t, self.unseen) for t in tokens)
+        return self.prior + sum(found.get(t, 0.0) for t in tokens)
 
 
 def naive_bayes(n: int, block: int, counts: DataFrame) -> NaiveBayes:
-    """From the numbers of URLs and of those to block, and (t, block, allow): a token's occurrences in both."""
-    sums = counts.agg(F.count("*").alias("size"), F.sum("block").alias("block"), F.sum("allow").alias("allow")).first()
-    in_block, in_allow = (sums.block or 0) + sums.size + 1, (sums.allow or 0) + sums.size + 1
-    term = F.log((F.col("block") + 1) / F.lit(float(in_block))) - F.log((F.col("allow") + 1) / F.lit(float(in_allow)))
-    return NaiveBayes(log((block + 1) / (n - block + 1)), counts.select("t", term.alias("term")), log(in_allow / in_block))
+    """From the numbers of URLs and of those to block, and (t, block, allow): a token's occurrences in both.
+
+    Each token gets two occurrences more, shared out to the classes as all occurrences are. (One in each would make every
+    rare token evidence for the smaller class, so that clean URLs of uncommon words were blocked.)
+    """
+    sums = counts.agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")).first()
+    in_block, in_allow = (sums.block or 0) + 1, (sums.allow or 0) + 1
+    more_block, more_allow = 2 * in_block / (in_block + in_allow), 2 * in_allow / (in_block + in_allow)
+    term = F.log(F.col("block") + more_block) - F.log(F.col("allow") + more_allow) - log(in_block / in_allow)
+    return NaiveBayes(log((block + 1) / (n - block + 1)), counts.select("t", term.alias("term")))
 
 
 def fit_naive_bayes(tokens: DataFrame) -> NaiveBayes:
@@ -175,19 +190,20 @@ def _sum(values: Column) -> Column:
     return F.aggregate(F.sort_array(values), F.lit(0.0), lambda a, x: a + x)
 
 
-def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, block_words: Sequence[str] = BLOCK_WORDS) -> DataFrame:
     """page_id, host, path, rule, verdict, log_odds; one row for each row of ``pages`` (page_id, url, html).
 
     verdict is the rule's where one fits, else block where the log odds are above 0, else allow. Null urls and urls
     without :// have an empty host and path and no words. Null html adds no words to the lexicon. Repeated rows are
-    judged alike; an empty table gives no rows; other columns are ignored.
+    judged alike; an empty table gives no rows; other columns are ignored. Very long urls are segmented in whole, runs of
+    over MAX_RUN letters in pieces.
 
     Different runs of letters are segmented and scored once; lexicon and tokens are joined in full.
     """
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.monotonically_increasing_id().alias("_row"))
-    cut = materialize(own.mapInArrow(_runs, "page_id bigint, host string, path string, _row bigint, host_runs array<string>, path_runs array<string>"), "url-runs")
+    cut = materialize(own.mapInArrow(_runs, "page_id bigint, host string, path string, _row bigint, host_runs array<string>, path_runs array<string>"), "url-runs", narrow=False)
     runs = cut.select(F.explode(F.concat("host_runs", "path_runs")).alias("run")).distinct()
-    segmented = materialize(segment_runs(runs, materialize(page_words(pages), "url-lexicon")), "url-segments")
+    segmented = materialize(segment_runs(runs, materialize(page_words(pages), "url-lexicon"), block_words), "url-segments")
 
     hosts = cut.select("_row", F.explode("host_runs").alias("run"))
     weak = hosts.join(segmented.filter("weak").select("run"), "run").select("_row").distinct().withColumn("_weak", F.lit(True))

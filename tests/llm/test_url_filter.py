@@ -1,4 +1,5 @@
 import itertools
+import random
 from math import log
 
 import pytest
@@ -67,8 +68,14 @@ def test_viterbi_finds_the_cheapest_split():
 def test_naive_bayes_by_hand(spark):
     rows = spark.createDataFrame([(["a", "a", "b"], True), (["b", "c"], False), ([], False)], "tokens array<string>, weak_block boolean")
     model = U.fit_naive_bayes(rows)
-    term = lambda block, allow: log((block + 1) / (3 + 4)) - log((allow + 1) / (2 + 4))
-    assert model.log_odds(["a", "b", "zz"]) == pytest.approx(log(2 / 3) + term(2, 0) + term(1, 1) + term(0, 0))
+    term = lambda block, allow: log((block + 2 * 4 / 7) / 4) - log((allow + 2 * 3 / 7) / 3)
+    assert model.log_odds(["a", "b", "zz"]) == pytest.approx(log(2 / 3) + term(2, 0) + term(1, 1))
+
+
+def test_rare_words_are_no_evidence_against_clean_urls(spark):
+    rows = [(["bad", "usual"], True)] * 2 + [(["usual", f"once{k}", f"only{k}"], False) for k in range(100)]
+    model = U.fit_naive_bayes(spark.createDataFrame(rows, "tokens array<string>, weak_block boolean"))
+    assert model.log_odds(["once1", "only2", "new"]) < model.prior < model.log_odds(["bad"])
 
 
 def test_rare_tokens_and_words_count_in_a_large_corpus(spark):
@@ -76,7 +83,39 @@ def test_rare_tokens_and_words_count_in_a_large_corpus(spark):
     rows = spark.range(120_000).select(F.array(F.lit("usual")).alias("tokens"), F.lit(False).alias("weak_block"))
     rows = rows.unionByName(spark.createDataFrame([(["rare"], True)], "tokens array<string>, weak_block boolean"))
     model = U.fit_naive_bayes(rows)
-    assert model.log_odds(["rare"]) == pytest.approx(log(2 / 120_001) + log(2 / (1 + 3)) - log(1 / (120_000 + 3)))
+    assert model.log_odds(["rare"]) == pytest.approx(log(2 / 120_001) + log((1 + 4 / 120_003) / 2) - log((2 * 120_001 / 120_003) / 120_001))
     pages = [(1, "http://adsquokka.org/a", "plain " * 150_000 + "quokka"), *((k, f"http://plain{k}.org/a", None) for k in range(2, 5))]
     found = {r.page_id: r.verdict for r in U.judge_urls(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
     assert found == {1: "block", 2: "allow", 3: "allow", 4: "allow"}
+
+
+def made_up_urls(seed, n):
+    """(page_id, url, html): hosts to block pair a seed word with words that only such sites use; clean ones have none."""
+    rng = random.Random(seed)
+    seeds, beside = ["casino", "poker", "viagra", "porn", "spyware", "bets"], ["bonus", "cheap", "freebie", "lucky", "hot"]
+    plain = ["garden", "recipes", "news", "museum", "library", "weather", "school", "travel"]
+    rows = []
+    for i in range(n):
+        if i % 5 == 0:
+            name = rng.choice(seeds) + rng.choice(["", "-"]) + rng.choice(beside)
+        else:
+            name = rng.choice(plain) + rng.choice(["", "-"]) + rng.choice(plain)
+        rows.append((i, f"http://{name}.example.org/fr/{rng.choice(plain if i % 5 else beside)}/{i}", " ".join(seeds + beside + plain)))
+    return rows
+
+
+@pytest.mark.parametrize("held_out", ["poker", "viagra"])
+def test_learning_finds_sites_of_seed_words_that_it_was_not_given(spark, held_out):
+    rows = made_up_urls(5, 600)
+    given = [w for w in U.BLOCK_WORDS if w != held_out]
+    found = {r.page_id: r.verdict for r in U.judge_urls(spark.createDataFrame(rows, "page_id bigint, url string, html string"), block_words=given).collect()}
+    hidden = [i for i, url, _ in rows if held_out in url]
+    clean = [i for i, _, _ in rows if i % 5]
+    assert len(hidden) > 10 and sum(found[i] == "block" for i in hidden) >= 0.9 * len(hidden)
+    assert sum(found[i] == "allow" for i in clean) >= 0.98 * len(clean)
+
+
+def test_very_long_urls(spark):
+    rows = [(1, "http://plain.org/" + "casinoplain" * 20_000, None), (2, "http://" + "a" * 50_000 + "/x", "plain"), (3, "http://plain.org/a", None)]
+    found = {r.page_id: r for r in U.judge_urls(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert len(found[1].path) == 220_001 and len(found[2].host) == 50_000 and found[3].verdict == "allow"
