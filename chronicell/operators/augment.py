@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronicell.functions.decode import value_text
+from chronicell.functions.naming import merged_table
+from chronicell.operators.running import last_known
 
 # Raw event kinds that carry rows or statements, and what they become.
 OPERATIONS = {
@@ -51,13 +53,44 @@ def in_schema(db: Column, schema: str) -> Column:
     return db == schema
 
 
-def known_before(events: DataFrame, value: Column, by: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+def known_before(events: DataFrame, value: Column, by: Sequence[str], order: Sequence[str], name: str, block: Sequence[str] = (), required: bool = False) -> DataFrame:
     """The latest non-null ``value`` at or before each event: table of a table id, file of a position, current GTID.
 
-    Partitions are logs (server, file) or ids inside them, so order is needed only inside a partition.
+    ``by`` tells logs (or ids inside them) apart. Where that leaves whole logs, ``block`` names the files that they come
+    in: windows are then by file, and what earlier files knew is carried over. ``required``: an event before any value
+    is an error, as a row event with an unknown table id is.
     """
-    upto = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return events.withColumn(name, F.last(value, ignorenulls=True).over(upto))
+    if block:
+        out = last_known(events, value, by, block, order, name)
+    else:
+        upto = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = events.withColumn(name, F.last(value, ignorenulls=True).over(upto))
+    if required:
+        unknown = F.raise_error(F.concat(F.lit(f"no {name} known at "), F.concat_ws(", ", *[F.col(c).cast("string") for c in (*by, *block, *order)])))
+        out = out.withColumn(name, F.coalesce(name, unknown.cast(out.schema[name].dataType)))
+    return out
+
+
+def current_gtid(events: DataFrame, kind: str = "REAL", by: Sequence[str] = ("server",), block: Sequence[str] = ("file",), order: Sequence[str] = ("position",), name: str = "current_gtid") -> DataFrame:
+    """The transaction id in force at every event (gtid, pseudo_gtid): GTID events set the REAL one, marker statements
+    the PSEUDO one; ids of the other kind than the one asked for are left out."""
+    if kind not in ("REAL", "PSEUDO"):
+        raise ValueError(f"unknown kind of transaction id: {kind}")
+    return known_before(events, F.col("gtid" if kind == "REAL" else "pseudo_gtid"), by, order, name, block)
+
+
+#: Event filters by name: each takes (events, settings).
+FILTERS = {
+    "IDENTITY": lambda events, settings: events,
+    "TABLE_MERGE_PATTERN": lambda events, settings: events.withColumns({"orig_tbl": F.col("tbl"), "tbl": merged_table(F.col("tbl"), settings["pattern"])}),
+}
+
+
+def event_filter(events: DataFrame, name: str = "IDENTITY", settings: dict | None = None) -> DataFrame:
+    """Apply the filter of that name; an unknown name is an error."""
+    if name not in FILTERS:
+        raise ValueError(f"unknown filter {name}, known: {', '.join(FILTERS)}")
+    return FILTERS[name](events, settings or {})
 
 
 def extract_rows(events: DataFrame, rows: str = "rows") -> DataFrame:

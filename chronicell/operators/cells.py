@@ -9,13 +9,18 @@ from chronicell.functions.decode import value_text
 from chronicell.functions.naming import salted_key_of
 from chronicell.operators.augment import changed_columns
 
+#: Where a cell came from, in the order in which cells of one microsecond were written.
+PLACE = ("file", "position", "row_idx")
 STATUS, TXN_ID, TXN_XID = "row_status", "_transaction_uuid", "_transaction_xid"
 
 
 def row_key(pk: Column, tbl: Column | None = None, txn_id: Column | None = None, payload_table: str | None = None) -> Column:
     """Salted key of the key values; rows of the payload table are keyed by their transaction instead."""
     key = F.when(F.size(pk) > 0, salted_key_of(pk)).otherwise(F.raise_error(F.lit("a table without primary key has no row key")).cast("string"))
-    return key if payload_table is None else F.when(tbl == payload_table, txn_id).otherwise(key)
+    if payload_table is None:
+        return key
+    by_txn = F.coalesce(txn_id, F.raise_error(F.lit("a row of the payload table needs a transaction id")).cast("string"))
+    return F.when(tbl == payload_table, by_txn).otherwise(key)
 
 
 def target_table(tbl: Column, namespace: str = "") -> Column:
@@ -27,8 +32,10 @@ def to_cells(changes: DataFrame, payload_table: str | None = None) -> DataFrame:
 
     INSERT writes all columns, UPDATE those whose text changed, DELETE none; each also writes its status letter, the
     transaction's id and its number. NULL is written as the word. The key is that of the after image; the key of a
-    deleted row that of its before image (``pk`` holds it either way).
+    deleted row that of its before image (``pk`` holds it either way). Cells carry their place in the log (file, where
+    there is one, position, row_idx), which orders those of one microsecond.
     """
+    place = [c for c in PLACE if c in changes.columns]
     entries = (
         F.when(F.col("op") == "INSERT", F.col("after"))
         .when(F.col("op") == "UPDATE", changed_columns(F.col("before"), F.col("after")))
@@ -39,9 +46,8 @@ def to_cells(changes: DataFrame, payload_table: str | None = None) -> DataFrame:
         "tbl",
         row_key(F.col("pk"), F.col("tbl"), F.col("txn_id"), payload_table).alias("row_key"),
         "ts_us",
-        "position",
-        "row_idx",
+        *place,
         F.map_concat(entries, meta).alias("_cells"),
     )
-    out = keyed.select("tbl", "row_key", "ts_us", "position", "row_idx", F.explode("_cells").alias("qualifier", "_value"))
-    return out.select("tbl", "row_key", "qualifier", "ts_us", value_text(F.col("_value")).alias("value"), "position", "row_idx")
+    out = keyed.select("tbl", "row_key", "ts_us", *place, F.explode("_cells").alias("qualifier", "_value"))
+    return out.select("tbl", "row_key", "qualifier", "ts_us", value_text(F.col("_value")).alias("value"), *place)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window
@@ -66,38 +67,44 @@ class ColumnInfo:
 
 @dataclass
 class SchemaState:
-    """Tables of one database as its statements leave them; ``apply`` returns (table, before, after) of each change.
-
-    Knows CREATE TABLE (columns, PRIMARY KEY, LIKE, IF NOT EXISTS), ALTER TABLE (ADD, DROP, MODIFY, CHANGE, with FIRST and
-    AFTER, RENAME), DROP TABLE (several, IF EXISTS) and RENAME TABLE (several pairs, in order).
+    """Tables as statements leave them; ``apply`` returns (table, before, after) of each change.
+
+    A table is known as ``database.table`` where the log says which database a statement ran in (``db``), so that namesakes
+    are kept apart, else by its name alone.
+    Knows CREATE TABLE (columns, PRIMARY KEY, LIKE, IF NOT EXISTS), ALTER TABLE (ADD of one or more columns, DROP, MODIFY,
+    CHANGE, with FIRST and AFTER, ALTER ... DEFAULT, RENAME COLUMN, RENAME, ADD and DROP PRIMARY KEY), DROP TABLE (several,
+    IF EXISTS) and RENAME TABLE (several pairs, in order). A log may begin after its tables were made: what a statement
+    says of a table or column that is not known is taken as it stands, and what it cannot say stays unknown.
     """
 
     tables: dict[str, tuple[ColumnInfo, ...]] = field(default_factory=dict)
 
-    def apply(self, sql: str) -> list[tuple[str, tuple | None, tuple | None]]:
+    def apply(self, sql: str, db: str | None = None) -> list[tuple[str, tuple | None, tuple | None]]:
         sql = re.sub(r"^/\*.*?\*/\s*", "", sql.strip(), flags=re.S).rstrip("; \n\t")
+        named = lambda text: _table(text, db)
         if m := re.match(r"(?is)create\s+table\s+(if\s+not\s+exists\s+)?(\S+?)\s+like\s+(\S+)$", sql):
-            return self._set(_name(m[2]), self.tables.get(_name(m[3]), ()), keep=bool(m[1]))
+            return self._set(named(m[2]), self.tables.get(named(m[3]), ()), keep=bool(m[1]))
         if m := re.match(r"(?is)create\s+table\s+(if\s+not\s+exists\s+)?([^\s(]+)\s*\((.*)\)", sql):
-            return self._set(_name(m[2]), _columns(m[3]), keep=bool(m[1]))
+            return self._set(named(m[2]), _columns(m[3]), keep=bool(m[1]))
         if m := re.match(r"(?is)drop\s+table\s+(?:if\s+exists\s+)?(.*)", sql):
-            return [x for t in m[1].split(",") for x in self._set(_name(t.split()[0]), None)]
+            return [x for t in m[1].split(",") for x in self._set(named(t.split()[0]), None)]
         if m := re.match(r"(?is)rename\s+table\s+(.*)", sql):
-            out = []
-            for pair in m[1].split(","):
-                old, new = re.split(r"(?i)\s+to\s+", pair.strip())
-                out += self._move(_name(old), _name(new))
-            return out
-        if m := re.match(r"(?is)alter\s+table\s+(\S+)\s+rename\s+(?:to\s+|as\s+)?(\S+)$", sql):
-            return self._move(_name(m[1]), _name(m[2]))
+            pairs = [re.split(r"(?i)\s+to\s+", pair.strip()) for pair in m[1].split(",")]
+            return [x for old, new in pairs for x in self._move(named(old), named(new))]
         if m := re.match(r"(?is)alter\s+table\s+(\S+)\s+(.*)", sql):
-            table = _name(m[1])
-            columns = list(self.tables.get(table, ()))
-            for part in _split(m[2]):
-                columns = _altered(columns, part)
-            return self._set(table, tuple(columns))
+            return self._alter(named(m[1]), _split(m[2]), named)
         return []
 
+    def _alter(self, table: str, parts: list[str], named) -> list:
+        columns, target = list(self.tables.get(table, ())), table
+        for part in parts:
+            if m := re.match(r"(?is)rename\s+(?:to\s+|as\s+)?(?!column\b|index\b|key\b)(\S+)$", part):
+                target = named(m[1])
+            else:
+                columns = _altered(columns, part)
+        changed = self._set(table, tuple(columns)) if target == table or tuple(columns) != self.tables.get(table, ()) else []
+        return changed + (self._move(table, target) if target != table else [])
+
     def _set(self, table: str, columns: tuple | None, keep: bool = False) -> list:
         before = self.tables.get(table)
         if keep and before is not None:
@@ -109,7 +116,7 @@ class SchemaState:
         return [(table, before, columns)]
 
     def _move(self, old: str, new: str) -> list:
-        columns = self.tables.get(old)
+        columns = self.tables.get(old, ())
         return [*self._set(old, None), *self._set(new, columns)]
 
 
@@ -117,6 +124,13 @@ def _name(text: str) -> str:
     return text.replace("`", "").split(".")[-1]
 
 
+def _table(text: str, db: str | None) -> str:
+    if not db:
+        return _name(text)
+    text = text.replace("`", "")
+    return text if "." in text else f"{db}.{text}"
+
+
 def _split(text: str) -> list[str]:
     """Parts between commas that are outside parentheses and quotes."""
     parts, depth, quote, start = [], 0, "", 0
@@ -135,6 +149,8 @@ def _split(text: str) -> list[str]:
 
 def _column(text: str) -> ColumnInfo:
     m = re.match(r"(?is)`?([^\s`]+)`?\s+([a-z]+(?:\s*\(.*?\))?(?:\s+unsigned)?)", text)
+    if m is None:
+        raise ValueError(f"no column definition: {text}")
     rest = text[m.end() :]
     default = re.search(r"(?i)default\s+('(?:[^']|'')*'|[^\s,]+)", rest)
     value = default[1].strip("'") if default and default[1].upper() != "NULL" else None
@@ -144,59 +160,156 @@ def _column(text: str) -> ColumnInfo:
     return ColumnInfo(m[1], kind, not (primary or re.search(r"(?i)not\s+null", rest)), "PRI" if primary else "", value)
 
 
+_KEYS = r"(?i)(unique|key|index|constraint|foreign|fulltext|spatial|check|partition)\b"
+_PRIMARY = r"(?is)(?:constraint\s+\S+\s+)?primary\s+key\s*(?:using\s+\S+\s*)?\((.*)\)"
+
+
+def _with_primary(columns: Sequence[ColumnInfo], names: str) -> list[ColumnInfo]:
+    primary = [re.sub(r"\(.*", "", _name(c.strip())) for c in names.split(",")]
+    return [replace(c, key="PRI", nullable=False) if c.name in primary else c for c in columns]
+
+
 def _columns(body: str) -> tuple[ColumnInfo, ...]:
-    columns, primary = [], []
+    columns, primary = [], ""
     for part in _split(body):
-        if m := re.match(r"(?is)(?:constraint\s+\S+\s+)?primary\s+key\s*\((.*?)\)", part):
-            primary = [_name(c.strip()) for c in m[1].split(",")]
-        elif not re.match(r"(?i)(unique|key|index|constraint|foreign|fulltext|check)\b", part):
+        if m := re.match(_PRIMARY, part):
+            primary = m[1]
+        elif not re.match(_KEYS, part):
             columns.append(_column(part))
-    return tuple(replace(c, key="PRI", nullable=False) if c.name in primary else c for c in columns)
+    return tuple(_with_primary(columns, primary))
+
+
+def _placed(columns: list[ColumnInfo], new: ColumnInfo, at: int, where: re.Match | None) -> list[ColumnInfo]:
+    """``new`` at FIRST or AFTER a column, else at ``at``; after a column that is not known, at the end."""
+    if where:
+        names = [c.name for c in columns]
+        at = 0 if where[1].lower() == "first" else names.index(where[2]) + 1 if where[2] in names else len(columns)
+    return columns[:at] + [new] + columns[at:]
 
 
 def _altered(columns: list[ColumnInfo], part: str) -> list[ColumnInfo]:
+    if m := re.match(r"(?is)rename\s+column\s+`?([^\s`]+)`?\s+to\s+`?([^\s`]+)`?", part):
+        return [replace(c, name=m[2]) if c.name == m[1] else c for c in columns]
+    if m := re.match(r"(?is)alter\s+(?:column\s+)?`?([^\s`]+)`?\s+(?:set\s+default\s+('(?:[^']|'')*'|\S+)|drop\s+default)", part):
+        value = None if m[2] is None or m[2].upper() == "NULL" else m[2].strip("'")
+        return [replace(c, default=value) if c.name == m[1] else c for c in columns]
+    if re.match(r"(?is)drop\s+primary\s+key", part):
+        return [replace(c, key="") for c in columns]
+    if m := re.match(r"(?is)add\s+" + _PRIMARY.removeprefix("(?is)"), part):
+        return _with_primary(columns, m[1])
     m = re.match(r"(?is)(add|drop|modify|change)\s+(?:column\s+)?(.*)", part)
-    if not m or re.match(r"(?i)(primary|index|key|unique|constraint|foreign)\b", m[2]):
+    if not m or re.match(_KEYS, m[2]):
         return columns
-    what, rest = m[1].lower(), m[2]
-    names = [c.name for c in columns]
+    what, rest = m[1].lower(), re.sub(r"(?i)^if\s+(not\s+)?exists\s+", "", m[2])
     if what == "drop":
         return [c for c in columns if c.name != _name(rest.split()[0])]
+    if what == "add" and rest.startswith("("):
+        return columns + list(_columns(rest[1 : rest.rindex(")")]))
     where = re.search(r"(?i)\s+(first|after\s+`?([^\s`]+)`?)\s*$", rest)
     body = rest[: where.start()] if where else rest
     at = len(columns)
     if what in ("modify", "change"):
         old = _name(body.split()[0])
-        at = names.index(old)
-        body = body.split(None, 1)[1] if what == "change" else body
+        at = next((i for i, c in enumerate(columns) if c.name == old), at)
+        was = columns[at : at + 1]
         columns = columns[:at] + columns[at + 1 :]
-    new = _column(body)
-    if where:
-        at = 0 if where[1].lower() == "first" else [c.name for c in columns].index(where[2]) + 1
-    return columns[:at] + [new] + columns[at:]
+        new = _column(body.split(None, 1)[1] if what == "change" else body)
+        return _placed(columns, replace(new, key="PRI", nullable=False) if was and was[0].key == "PRI" else new, at, where)
+    return _placed(columns, _column(body), at, where)
 
 
-SCHEMA_HISTORY = "position bigint, sql string, tbl string, before string, after string"
+def create_text(table: str, columns: Sequence[ColumnInfo]) -> str:
+    """A CREATE TABLE statement that makes the table as it is known."""
+    quoted = lambda c: "" if c.default is None else " DEFAULT '" + c.default.replace("'", "''") + "'"
+    lines = [f"  `{c.name}` {c.column_type}{'' if c.nullable else ' NOT NULL'}{quoted(c)}" for c in columns]
+    primary = ", ".join(f"`{c.name}`" for c in columns if c.key == "PRI")
+    return f"CREATE TABLE `{_name(table)}` (\n" + ",\n".join([*lines, *([f"  PRIMARY KEY ({primary})"] if primary else [])]) + "\n)"
 
 
-def schema_history(statements: DataFrame) -> DataFrame:
-    """(position, sql, tbl, before, after) from (position, sql), columns as ``name type, ...`` text.
+def columns_text(columns: Sequence[ColumnInfo] | None) -> str | None:
+    return None if columns is None else ", ".join(f"{c.name} {c.column_type}" for c in columns)
+
 
-    Statements depend on all earlier ones, so one task interprets them in order: the number of DDL statements in a log is
-    small by nature and does not grow with its rows. The rest of the engine joins the result by position.
+def _interpreted(statements: DataFrame, rows_of, schema: str) -> DataFrame:
+    """What ``rows_of`` (state before, state after, statement, its changes) gives for each statement, in log order.
+
+    Statements depend on all earlier ones, so one task interprets them: the number of DDL statements in a log is small by
+    nature and does not grow with its rows. The rest of the engine joins the result by position.
     """
+    wanted = {"position": "bigint", "ts_ms": "bigint", "db": "string", "sql": "string"}
+    own = statements.select(*[F.col(c).cast(t) if c in statements.columns else F.lit(None).cast(t).alias(c) for c, t in wanted.items()])
 
     def run(batches):
         import pandas as pd
 
-        rows = pd.concat(list(batches), ignore_index=True).sort_values("position", kind="stable") if batches else None
+        found = [r for b in batches for r in b.itertuples(index=False)]
         state, out = SchemaState(), []
-        show = lambda cols: None if cols is None else ", ".join(f"{c.name} {c.column_type}" for c in cols)
-        for position, sql in zip(rows["position"], rows["sql"]):
-            out += [(position, sql, t, show(b), show(a)) for t, b, a in state.apply(sql)]
-        yield pd.DataFrame(out, columns=["position", "sql", "tbl", "before", "after"])
+        for r in sorted(found, key=lambda r: r.position):
+            before = dict(state.tables)
+            changes = state.apply(r.sql, None if pd.isna(r.db) else r.db)
+            out += rows_of(before, state.tables, r, changes)
+        if out:
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
+
+    return own.filter("sql IS NOT NULL").coalesce(1).mapInPandas(run, schema)
 
-    return statements.select("position", "sql").coalesce(1).mapInPandas(run, SCHEMA_HISTORY)
+
+def schema_history(statements: DataFrame) -> DataFrame:
+    """(position, sql, tbl, before, after) from (position, sql and, where known, db), columns as ``name type, ...`` text.
+
+    Statements without text are left out; an empty log has no history.
+    """
+    rows = lambda before, after, r, changes: [(r.position, r.sql, t, columns_text(b), columns_text(a)) for t, b, a in changes]
+    return _interpreted(statements, rows, "position bigint, sql string, tbl string, before string, after string")
+
+
+def _table_json(table: str, columns: Sequence[ColumnInfo] | None) -> dict | None:
+    if columns is None:
+        return None
+    db, _, name = table.rpartition(".")
+    own = [{"name": c.name, "columnType": c.column_type, "key": c.key, "valueDefault": c.default, "nullable": c.nullable} for c in columns]
+    return {"fullTableName": {"db": db or None, "name": name}, "columnSchemas": own, "create": create_text(table, columns)}
+
+
+def schema_snapshots(statements: DataFrame) -> DataFrame:
+    """(position, ts_ms, ddl, transition, schema_before, schema_after, creates_before, creates_after): for each statement
+    that changes a schema, what it changed and all tables and their CREATE statements before and after it, as JSON."""
+
+    def rows(before, after, r, changes):
+        import json
+
+        if not changes:
+            return []
+        text = lambda x: json.dumps(x, separators=(",", ":"), sort_keys=False)
+        steps = [{"ddl": r.sql, "schemaTransitionTimestamp": r.ts_ms, "tableName": t, "tableSchemaBefore": _table_json(t, b), "tableSchemaAfter": _table_json(t, a)} for t, b, a in changes]
+        whole = [text({t: _table_json(t, c) for t, c in sorted(x.items())}) for x in (before, after)]
+        creates = [text({t: create_text(t, c) for t, c in sorted(x.items())}) for x in (before, after)]
+        return [(r.position, r.ts_ms, r.sql, text(steps), *whole, *creates)]
+
+    return _interpreted(statements, rows, "position bigint, ts_ms bigint, ddl string, transition string, schema_before string, schema_after string, creates_before string, creates_after string")
+
+
+def history_cells(snapshots: DataFrame, schema: str, namespace: str = "", initial: bool = False) -> DataFrame:
+    """Cells (tbl, row_key, qualifier, ts_us, value) of the schema history table: six for each change, keyed by its time;
+    those of an initial snapshot have one key."""
+    cells = F.create_map(
+        F.lit("ddl"), "ddl", F.lit("schemaTransitionSequence"), "transition", F.lit("schemaPreChange"), "schema_before", F.lit("schemaPostChange"), "schema_after",
+        F.lit("createsPreChange"), "creates_before", F.lit("createsPostChange"), "creates_after",
+    )
+    key = F.lit("initial-snapshot") if initial else F.col("ts_ms").cast("string")
+    table = (f"{namespace}:" if namespace else "") + schema.lower() + "_schema_history"
+    return snapshots.select(F.lit(table).alias("tbl"), key.alias("row_key"), F.explode(cells).alias("qualifier", "value"), (F.col("ts_ms") * 1000).alias("ts_us")).select("tbl", "row_key", "qualifier", "ts_us", "value")
+
+
+def bootstrap(columns: DataFrame) -> DataFrame:
+    """(position, sql): CREATE statements of the tables that exist at the start, from their columns (tbl, ordinal, name,
+    column_type, nullable, key), as an information schema lists them. One row a table comes out, before all positions."""
+    own = F.concat(F.lit("`"), F.col("name"), F.lit("` "), F.col("column_type"), F.when(F.col("nullable"), "").otherwise(" NOT NULL"))
+    each = F.sort_array(F.collect_list(F.struct("ordinal", own.alias("text"), F.when(F.col("key") == "PRI", F.concat(F.lit("`"), F.col("name"), F.lit("`"))).alias("primary"))))
+    tables = columns.groupBy("tbl").agg(each.alias("_c"))
+    primary = F.filter(F.col("_c.primary"), lambda x: x.isNotNull())
+    closing = F.when(F.size(primary) > 0, F.concat(F.lit(", PRIMARY KEY ("), F.array_join(primary, ", "), F.lit(")"))).otherwise("")
+    return tables.select(F.lit(-1).cast("long").alias("position"), F.concat(F.lit("CREATE TABLE "), F.col("tbl"), F.lit(" ("), F.array_join("_c.text", ", "), closing, F.lit(")")).alias("sql"))
 
 
 def columns_before(history: DataFrame) -> DataFrame:

@@ -6,9 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _hashed(text: Column, n: int) -> Column:
+    """The first 32 bits of the text's md5 modulo n: any other engine can name the partition too."""
+    return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % n).cast("int")
+
+
 def partition_by_table(db: Column, tbl: Column, n: int) -> Column:
     """Events of one table share a partition."""
-    return F.pmod(F.xxhash64(F.concat_ws(".", db, tbl)), F.lit(n)).cast("int")
+    return _hashed(F.concat_ws(".", db, tbl), n)
 
 
 def partition_by_xid(xid: Column, n: int) -> Column:
@@ -18,7 +23,29 @@ def partition_by_xid(xid: Column, n: int) -> Column:
 
 def partition_by_txn(txn_id: Column, n: int) -> Column:
     """Events of one transaction share a partition."""
-    return F.pmod(F.xxhash64(txn_id), F.lit(n)).cast("int")
+    return _hashed(txn_id, n)
+
+
+def partition_at_random(n: int, seed: int | None = None) -> Column:
+    return F.floor(F.rand(seed) * n).cast("int") if seed is not None else F.floor(F.rand() * n).cast("int")
+
+
+#: Partitioners by name: each takes an event's columns (a mapping) and the number of partitions. Events that lack what
+#: their partitioner looks at are dealt out at random.
+PARTITIONERS = {
+    "TABLE_NAME": lambda c, n: F.when(c["tbl"].isNotNull(), partition_by_table(c["db"], c["tbl"], n)).otherwise(partition_at_random(n)),
+    "XXID": lambda c, n: F.when(c["xid"].isNotNull(), partition_by_xid(c["xid"], n)).otherwise(partition_at_random(n)),
+    "TRID": lambda c, n: F.when(c["txn_id"].isNotNull(), partition_by_txn(c["txn_id"], n)).otherwise(partition_at_random(n)),
+    "RANDOM": lambda c, n: partition_at_random(n),
+    "NONE": lambda c, n: F.lit(0),
+}
+
+
+def partition_of(name: str, columns, n: int) -> Column:
+    """Partition of an event by the partitioner of that name; an unknown name is an error."""
+    if name not in PARTITIONERS:
+        raise ValueError(f"unknown partitioner {name}, known: {', '.join(PARTITIONERS)}")
+    return PARTITIONERS[name](columns, n)
 
 
 def gtid_number(gtid: Column) -> Column:
@@ -64,5 +91,23 @@ def skip_seen(events: DataFrame, last: DataFrame, partition: str = "partition",
 
 
 def checkpoint_order(gtid: Column, ts_ms: Column, file: Column, position: Column) -> Column:
-    """A struct that sorts checkpoints: transaction number, then time, then place in the log."""
+    """A struct that sorts checkpoints of one server: transaction number (none before any), then time, then place in the log."""
     return F.struct(gtid_number(gtid).alias("n"), ts_ms.alias("ts_ms"), file.alias("file"), position.alias("position"))
+
+
+def checkpoint_compare(a: Column, b: Column) -> Column:
+    """-1, 0 or 1 of two checkpoint structs (gtid, ts_ms, server, file, position).
+
+    By transaction number, a missing id before any; then by time; then, only for checkpoints of the same server, by
+    place in the log, a missing place before any. Checkpoints of different servers with equal numbers and times are equal.
+    """
+    step = lambda x, y: F.when(x.isNull() & y.isNull(), 0).when(x.isNull(), -1).when(y.isNull(), 1).when(x < y, -1).when(x > y, 1).otherwise(0)
+    place = lambda c: F.when(c["file"].isNotNull(), F.struct(c["file"], c["position"]))
+    by_id, by_time = step(gtid_number(a["gtid"]), gtid_number(b["gtid"])), step(a["ts_ms"], b["ts_ms"])
+    by_place = F.when(a["server"].eqNullSafe(b["server"]), step(place(a), place(b))).otherwise(0)
+    return F.when(by_id != 0, by_id).when(by_time != 0, by_time).otherwise(by_place)
+
+
+def position_compare(a: Column, b: Column) -> Column:
+    """-1, 0 or 1 of two places (file, position) of one log."""
+    return F.when(a < b, -1).when(a > b, 1).otherwise(0)

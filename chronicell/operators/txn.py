@@ -7,19 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Sequence numbers of one commit second start again after this one (after the 0 that opens the second).
+from chronicell.operators.running import present, running_max
+
+CLOSING = ("COMMIT", "XID")
+#: Sequence numbers of one commit time start again at 1 after this one (the 0 only opens the time).
 SEQ_CYCLE = 9999
 #: Changes of one key in one transaction keep apart for so many microseconds.
 SPAN_US = 50
 
 
-def assemble(events: DataFrame, log: Sequence[str] = ("server", "file"), order: str = "position", kind: str = "kind") -> DataFrame:
+def assemble(events: DataFrame, log: Sequence[str] = ("server", "file"), order: str = "position", kind: str = "kind", transactions: bool = True) -> DataFrame:
     """Add txn_no, the number of the transaction inside its log, to rows between BEGIN and COMMIT or XID.
 
     Events outside a transaction get null. A second BEGIN without a commit goes on with the same transaction. An open
-    tail is not visible: its rows are left out. Transactions never span two logs, so windows are by log.
+    tail is not visible: its rows are left out. Transactions never span two files, so windows are by file. With
+    ``transactions`` off every event stands alone, at once and without a number.
     """
-    closing = F.col(kind).isin("COMMIT", "XID").cast("int")
+    if not transactions:
+        return events.withColumn("txn_no", F.lit(None).cast("long"))
+    closing = F.col(kind).isin(*CLOSING).cast("int")
     by_log = Window.partitionBy(*log).orderBy(order)
     closed = F.coalesce(F.sum(closing).over(by_log.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     out = events.withColumn("_no", closed)
@@ -31,14 +37,38 @@ def assemble(events: DataFrame, log: Sequence[str] = ("server", "file"), order:
     return out.withColumn("txn_no", F.when(F.col("_begun") == 1, F.col("_no"))).drop("_no", "_begun", "_ends")
 
 
-def commit_sequence(commits: DataFrame, second: str = "commit_ts_ms", order: str = "position", name: str = "seq") -> DataFrame:
-    """0 for the first commit of a second, then 1, 2, ... up to SEQ_CYCLE - 1 and 0 again.
+def commit_sequence(
+    commits: DataFrame, second: str = "commit_ts_ms", order: str = "position", name: str = "seq", log: Sequence[str] | None = None, file: Sequence[str] | None = None, ascending: bool = False
+) -> DataFrame:
+    """Number of each commit inside its commit time: 0 for the first, then 1, 2, ... up to SEQ_CYCLE and 1 again.
 
-    Closed form for commit times that do not go back in the log: the n-th commit of a second (from 0) gets 0 for n = 0,
-    else (n - 1) mod SEQ_CYCLE + 1 - the counter restarts once it has passed its limit.
+    Follows each log: a later time than any before starts at 0, the newest time so far counts on, and a commit with an
+    earlier time leaves the counter as it is (but for a counter that has passed its limit, which goes to 0). The newest
+    time so far is a running maximum from file to file; numbers are then counted by log and that time. ``ascending``
+    states that times never go back in a log, which saves the running maximum. ``log`` and ``file`` are the columns server
+    and file, where there are such.
+    """
+    log = present(commits, "server") if log is None else log
+    file = present(commits, "file") if file is None else file
+    place = [*file, order]
+    newest = commits.withColumn("_newest", F.col(second)) if ascending else running_max(commits, F.col(second), log, file, [order], "_newest")
+    by_time = Window.partitionBy(*log, "_newest").orderBy(*place).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    n = F.count(F.when(F.col(second) == F.col("_newest"), 1)).over(by_time) - 1
+    counter = F.when(n == 0, 0).otherwise((n - 1) % SEQ_CYCLE + 1)
+    late = (F.col(second) < F.col("_newest")) & (counter == SEQ_CYCLE)
+    return newest.withColumn(name, F.when(late, 0).otherwise(counter).cast("long")).drop("_newest")
+
+
+def stamp_commits(assembled: DataFrame, log: Sequence[str] = ("server",), file: Sequence[str] = ("file",), order: str = "position", kind: str = "kind", ts: str = "ts_ms") -> DataFrame:
+    """Adds commit_ts_ms, commit_gtid, commit_xid and seq, those of their commit, to the events of transactions.
+
+    The columns gtid (that in force) and xid are used where the log has them. Events outside of transactions get nulls,
+    and every commit of the log counts for the sequence, whatever it holds. One row a transaction is joined to its events.
     """
-    n = F.row_number().over(Window.partitionBy(second).orderBy(order)) - 1
-    return commits.withColumn(name, F.when(n == 0, 0).otherwise((n - 1) % SEQ_CYCLE + 1).cast("long"))
+    value = {c: F.col(c) if c in assembled.columns else F.lit(None).cast(t) for c, t in (("gtid", "string"), ("xid", "long"))}
+    commits = assembled.filter(F.col(kind).isin(*CLOSING)).select(*log, *file, order, "txn_no", F.col(ts).alias("commit_ts_ms"), value["gtid"].alias("commit_gtid"), value["xid"].alias("commit_xid"))
+    stamps = commit_sequence(commits, order=order, log=log, file=file).drop(order).filter("txn_no IS NOT NULL")
+    return assembled.join(stamps, [*log, *file, "txn_no"], "left").select(*assembled.columns, "commit_ts_ms", "commit_gtid", "commit_xid", "seq")
 
 
 def commit_micros(commit_ts_ms: Column, seq: Column) -> Column:

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronicell.functions.naming import url_encoded
+from chronicell.operators.running import present, running_count
 
 
-def one_in(changes: DataFrame, n: int = 100, counter: tuple[str, ...] = ("tbl",), order: tuple[str, ...] = ("position", "row_idx")) -> DataFrame:
-    """Every n-th change of each counter, in log order (the counter is kept for each table, hence spread over tasks)."""
-    rank = F.row_number().over(Window.partitionBy(*counter).orderBy(*order))
-    return changes.withColumn("_rank", rank).filter(F.col("_rank") % n == 0).drop("_rank")
+def one_in(changes: DataFrame, n: int = 100, log: Sequence[str] = (), block: Sequence[str] | None = None, order: Sequence[str] = ("position", "row_idx")) -> DataFrame:
+    """Every n-th change, in log order, counted over the whole log by a prefix sum over its files (``block``: the column
+    file, where there is one; ``log``: where there are several logs, what tells them apart; each then has a counter)."""
+    block = present(changes, "file") if block is None else block
+    return running_count(changes, log, block, order, "_rank").filter(F.col("_rank") % n == 0).drop("_rank")
 
 
 def eligible(op: Column, changed: Column) -> Column:

@@ -13,7 +13,12 @@ CELL = ["tbl", "row_key", "qualifier", "ts_us", "value"]
 
 
 def event_cells(spark, sf):
-    return to_cells(event_changes(spark, sf)).select(*CELL)
+    """Cells with their place in the log."""
+    return to_cells(event_changes(spark, sf))
+
+
+def cells_all(spark, sf):
+    return event_cells(spark, sf).select(*CELL)
 
 
 def salted_keys(spark, sf):
@@ -45,7 +50,7 @@ _N = "CASE WHEN n = 0 THEN 0 ELSE (n - 1) % 9999 + 1 END"
 EVENTS = f"""
 SELECT *, CASE WHEN op <> 'INSERT' THEN lag(image) OVER (PARTITION BY user_id ORDER BY position) END AS before, commit_ts_ms * 1000 + seq * 100 - 50 AS ts_us FROM (
  SELECT *, ({_N})::BIGINT AS seq FROM (
-  SELECT event_id AS position, user_id, CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'error' THEN 'DELETE' ELSE 'UPDATE' END AS op,
+  SELECT 'binlog.' || lpad((event_id // 1000)::VARCHAR, 6, '0') AS file, event_id AS position, user_id, CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'error' THEN 'DELETE' ELSE 'UPDATE' END AS op,
     epoch_ms(date_trunc('second', ts)) AS commit_ts_ms, 'events_' || strftime(ts, '%Y%m') AS orig_tbl, 'txn:' || event_id AS txn_id,
     {{'event_type': event_type, 'value': CAST(value AS DECIMAL(18,2))::VARCHAR, 'props': props}} AS image,
     row_number() OVER (PARTITION BY date_trunc('second', ts) ORDER BY event_id) - 1 AS n FROM events))"""
@@ -71,7 +76,7 @@ def _line_sql():
 
 PLANS = {
     "salted_keys": (salted_keys, f"SELECT DISTINCT {_LINE_KEY} AS row_key FROM lineitem"),
-    "cells_all": (event_cells, f"SELECT {_COLS} FROM ({CELLS})"),
+    "cells_all": (cells_all, f"SELECT {_COLS} FROM ({CELLS})"),
     "cells_insert": (_of("INSERT"), f"SELECT {_COLS} FROM ({CELLS}) WHERE op = 'INSERT'"),
     "cells_update_changed_only": (_of("UPDATE"), f"SELECT {_COLS} FROM ({CELLS}) WHERE op = 'UPDATE'"),
     "cells_delete": (_of("DELETE"), f"SELECT {_COLS} FROM ({CELLS}) WHERE op = 'DELETE'"),

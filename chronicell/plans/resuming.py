@@ -13,7 +13,7 @@ from chronicell.sources.changes import event_changes, raw_log
 def partition_by_table(spark, sf):
     e = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("db"), F.col("l_linestatus").alias("tbl"))
     p = resume.partition_by_table(F.col("db"), F.col("tbl"), 8)
-    return e.groupBy("db", "tbl").agg(F.count("*").alias("n"), F.count_distinct(p).alias("partitions"))
+    return e.groupBy("db", "tbl", p.alias("partition")).agg(F.count("*").alias("n"))
 
 
 def partition_by_xid(spark, sf):
@@ -22,8 +22,16 @@ def partition_by_xid(spark, sf):
 
 def partition_by_txn(spark, sf):
     c = event_changes(spark, sf)
-    p = resume.partition_by_txn(F.col("txn_id"), 8)
-    return c.groupBy("txn_id").agg(F.count_distinct(p).alias("partitions"), F.min(p.between(0, 7).cast("int")).alias("in_range"))
+    return c.select("position", resume.partition_of("TRID", c, 8).alias("partition"))
+
+
+def checkpoint_compare(spark, sf):
+    """Neighbouring orders' checkpoints: those of one server in three lack an id, every other pair is of two servers."""
+    o = table(spark, sf, "orders").filter("o_orderkey >= 0")
+    k = F.col("o_orderkey")
+    point = lambda n, odd: F.struct(F.when(n % 3 != 0, F.concat(F.lit("u:"), F.floor(n / 4).cast("string"))).alias("gtid"), (F.floor(n / 6) * 1000).alias("ts_ms"), F.when(n % 2 == odd, "a").otherwise("b").alias("server"), F.when(n % 5 != 0, F.concat(F.lit("f"), (n % 2).cast("string"))).alias("file"), n.alias("position"))
+    both = o.select(k, point(k, 0).alias("a"), point(k + 1, F.when(k % 4 < 2, 0).otherwise(1)).alias("b"))
+    return both.select("o_orderkey", resume.checkpoint_compare(F.col("a"), F.col("b")).alias("compared"))
 
 
 def _sets(spark, sf):
@@ -93,10 +101,22 @@ def _task_sql():
 
 
 _NATION = "substr(md5(n_nationkey::VARCHAR), 1, 8) || ';' || n_nationkey"
+_hashed = lambda text: f"(('0x' || substr(md5({text}), 1, 8))::BIGINT % 8)::INT"
+
+
+def _compare_sql():
+    """The comparison of ``checkpoint_compare``, with missing values as the lowest of their kind."""
+    side = lambda n, odd: f"CASE WHEN {n} % 3 <> 0 THEN {n} // 4 ELSE -1 END AS g, {n} // 6 AS t, {n} % 2 = {odd} AS s, CASE WHEN {n} % 5 <> 0 THEN {n} % 2 ELSE -1 END AS f, CASE WHEN {n} % 5 <> 0 THEN {n} ELSE -1 END AS p"
+    sides = f"(SELECT o_orderkey, {side('o_orderkey', '0')} FROM orders) a JOIN (SELECT o_orderkey, {side('(o_orderkey + 1)', '(CASE WHEN o_orderkey % 4 < 2 THEN 0 ELSE 1 END)')} FROM orders) b USING (o_orderkey)"
+    place = "CASE WHEN a.s = b.s THEN coalesce(nullif(sign(a.f - b.f), 0), sign(a.p - b.p)) ELSE 0 END"
+    return f"SELECT o_orderkey, coalesce(nullif(sign(a.g - b.g), 0), nullif(sign(a.t - b.t), 0), {place})::INT AS compared FROM {sides}"
+
+
 PLANS = {
-    "partition_by_table": (partition_by_table, "SELECT l_returnflag AS db, l_linestatus AS tbl, count(*) AS n, 1::BIGINT AS partitions FROM lineitem GROUP BY ALL"),
+    "partition_by_table": (partition_by_table, f"SELECT l_returnflag AS db, l_linestatus AS tbl, {_hashed("l_returnflag || '.' || l_linestatus")} AS partition, count(*) AS n FROM lineitem GROUP BY ALL"),
     "partition_by_xid": (partition_by_xid, "SELECT o_orderkey, (((o_orderkey * 3000000019) & 4294967295) % 16)::INT AS partition FROM orders"),
-    "partition_by_txn": (partition_by_txn, "SELECT 'txn:' || event_id AS txn_id, 1::BIGINT AS partitions, 1 AS in_range FROM events"),
+    "partition_by_txn": (partition_by_txn, f"SELECT event_id AS position, {_hashed("'txn:' || event_id")} AS partition FROM events"),
+    "checkpoint_compare": (checkpoint_compare, _compare_sql()),
     "parse_gtid_sets": (parse_gtid_sets, f"SELECT server, 2 * count(*) AS n, 1::BIGINT AS lo, greatest(max(hi), 900001)::BIGINT AS hi FROM ({_SETS}) GROUP BY server"),
     "safe_gtid_set": (
         safe_gtid_set,

@@ -5,7 +5,8 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Prefixes of column types, in the order of testing, and the Avro type of each.
@@ -78,8 +79,6 @@ def ddl_records(history: DataFrame, db: str, table: str) -> DataFrame:
     """
 
     def run(batches):
-        import pandas as pd
-
         for batch in batches:
             out = []
             for query, before, after in zip(batch["query"], batch["before"], batch["after"]):
@@ -107,25 +106,66 @@ class SchemaRegistry:
         return self._ids[key]
 
 
-def schema_key(op: Column, db: Column, tbl: Column) -> Column:
+def schema_key(op: Column, db: Column, tbl: Column, prefix: str = "bigdata") -> Column:
     """Subject of an event's schema."""
-    return F.when(op == "QUERY", "bigdata-ddl-schema").otherwise(F.concat_ws("-", F.lit("bigdata"), db, tbl))
+    return F.when(op == "QUERY", f"{prefix}-ddl-schema").otherwise(F.concat_ws("-", F.lit(prefix), db, tbl))
 
 
 def header_text(db: Column, tbl: Column, ts_ms: Column) -> Column:
     return F.concat_ws("-", db, tbl, ts_ms.cast("string"))
 
 
-def json_message(changes: DataFrame, partition: Column) -> DataFrame:
-    """(key, value, partition, timestamp): header and rows of each change as JSON, fields in a fixed order."""
-    header = F.to_json(F.struct(F.lit("db").alias("schema"), F.col("tbl").alias("table"), F.col("op").alias("eventType"), F.col("commit_ts_ms").alias("timestamp"), F.col("txn_id").alias("transaction")))
-    body = F.to_json(
-        F.struct(
-            F.struct(F.col("tbl").alias("eventTable"), F.col("op").alias("eventType")).alias("metadata"),
-            F.array(F.struct(F.col("txn_id").alias("transactionUUID"), F.col("xid").alias("transactionXid"), F.col("commit_ts_ms").alias("commitTimestamp"), F.col("ts_us").alias("rowMicrosecondTimestamp"), F.array_join("pk", ";").alias("key"))).alias("rows"),
-        )
+_NULLS = {"ignoreNullFields": "false"}
+
+
+def _column(df: DataFrame, name: str, kind: str) -> Column:
+    return F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind)
+
+
+def event_header(changes: DataFrame) -> Column:
+    """The header of an event: names, time, checkpoint, kind and transaction. What the changes do not carry is null."""
+    of = lambda name, kind: _column(changes, name, kind)
+    ts, gtid = of("commit_ts_ms", "long"), of("gtid", "string")
+    place = F.struct(of("file", "string").alias("filename"), of("position", "long").alias("position"))
+    checkpoint = F.struct(ts.alias("timestamp"), of("server_id", "long").alias("serverId"), of("gtid_set", "string").alias("gtidSet"), gtid.alias("gtid"), place.alias("binlog"))
+    transaction = F.struct(ts.alias("commitTimestamp"), of("txn_id", "string").alias("identifier"), of("xid", "long").alias("xxid"), of("seq", "long").alias("transactionSequenceNumber"))
+    return F.struct(
+        of("db", "string").alias("databaseName"), of("tbl", "string").alias("tableName"), ts.alias("timestamp"), checkpoint.alias("checkpoint"), of("op", "string").alias("eventType"),
+        F.when(of("txn_id", "string").isNotNull(), transaction).alias("eventTransaction"),
     )
-    return changes.select("position", header.alias("key"), body.alias("value"), partition.alias("partition"), F.col("commit_ts_ms").alias("timestamp"))
+
+
+def row_values(changes: DataFrame) -> Column:
+    """JSON of a row's values: those written, of an update before (b) and after (a) of each column, of a delete the last."""
+    both = F.transform_values("after", lambda k, v: F.struct(F.try_element_at("before", k).alias("b"), v.alias("a")))
+    return F.coalesce(F.when(F.col("op") == "UPDATE", F.to_json(both, _NULLS)).otherwise(F.to_json(F.coalesce("after", "before"), _NULLS)), F.lit("null"))
+
+
+def columns_json(columns: Sequence[tuple], fields: Sequence[str] = ("name", "columnType")) -> str:
+    """Column metadata (name, type, key, default) as JSON, with only the named fields."""
+    every = ("name", "columnType", "key", "valueDefault")
+    return json.dumps([{f: v for f, v in zip(every, c) if f in fields} for c in columns], separators=(",", ":"))
+
+
+def json_message(changes: DataFrame, partition: Column, columns: Sequence[tuple] = (), primary_key: Sequence[str] = (), fields: Sequence[str] = ("name", "columnType"), event: Sequence[str] | None = None) -> DataFrame:
+    """(key, value, partition, timestamp) and the event's position: header and data of each event as JSON.
+
+    The data are the table's metadata and the rows: transaction, commit time, microsecond and values of each. Every
+    change is an event with one row; ``event`` names the columns that tell events with several rows apart, whose rows
+    are then gathered in the order of row_idx.
+    """
+    head = F.struct(F.struct(_column(changes, "db", "string").alias("db"), F.col("tbl").alias("name")).alias("eventTable"), F.col("op").alias("eventType"))
+    known = json.dumps(list(primary_key), separators=(",", ":"))
+    metadata = F.concat(F.expr("substring(_head, 1, length(_head) - 1)"), F.lit(f',"columns":{columns_json(columns, fields)},"primaryKeyColumns":{known}}}'))
+    row = F.struct(F.col("txn_id").alias("transactionUUID"), F.col("xid").alias("transactionXid"), F.col("commit_ts_ms").alias("commitTimestamp"), F.col("ts_us").alias("rowMicrosecondTimestamp"))
+    found = changes.select(
+        "*", F.to_json(event_header(changes), _NULLS).alias("key"), F.to_json(head, _NULLS).alias("_head"), F.to_json(row, _NULLS).alias("_row"), row_values(changes).alias("_values"), partition.alias("partition")
+    ).withColumn("_row", F.concat(F.expr("substring(_row, 1, length(_row) - 1)"), F.lit(',"values":'), "_values", F.lit("}")))
+    if event is not None:
+        rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_idx", "_row"))), lambda x: x["_row"]), ",").alias("_row")
+        found = found.groupBy(*event).agg(*[F.min_by(c, "row_idx").alias(c) for c in ("position", "key", "_head", "partition", "commit_ts_ms") if c not in event], rows)
+    value = F.concat(F.lit('{"metadata":'), metadata, F.lit(',"rows":['), "_row", F.lit("]}"))
+    return found.select("position", "key", value.alias("value"), "partition", F.col("commit_ts_ms").alias("timestamp"))
 
 
 def avro_rows(changes: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -136,19 +176,127 @@ def avro_rows(changes: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def avro_bytes(record: dict, schema: dict) -> bytes:
+    """Avro's binary form of a record whose fields are unions of null and one of int, long, float, double and string."""
+    import struct
+
+    def number(n: int) -> bytes:
+        n = (n << 1) ^ (n >> 63)  # small numbers of either sign are short
+        out = bytearray()
+        while n & ~0x7F:
+            out.append(n & 0x7F | 0x80)
+            n >>= 7
+        return bytes([*out, n])
+
+    def one(kind: str, value) -> bytes:
+        if kind in ("int", "long"):
+            return number(int(value))
+        if kind in ("float", "double"):
+            return struct.pack("<f" if kind == "float" else "<d", float(value))
+        data = str(value).encode()
+        return number(len(data)) + data
+
+    out = b""
+    for f in schema["fields"]:
+        value = record[f["name"]]
+        branch = f["type"].index("null") if value is None else next(i for i, t in enumerate(f["type"]) if t != "null")
+        out += number(branch) + (b"" if value is None else one(f["type"][branch], value))
+    return out
+
+
+def avro_column(record: Column, schema: str) -> Column:
+    """Avro's binary form of a struct: by Spark's Avro module where it is installed, else by an Arrow-batched function."""
+    from pyspark.sql.functions import pandas_udf
+
+    spark = SparkSession.active()
+    if spark.sparkContext._jvm.java.lang.Thread.currentThread().getContextClassLoader().getResource("org/apache/spark/sql/avro/CatalystDataToAvro.class") is not None:
+        from pyspark.sql.avro.functions import to_avro
+
+        return to_avro(record, schema)
+    parsed = json.loads(schema)
+
+    @pandas_udf("binary")
+    def encode(rows: pd.DataFrame) -> pd.Series:
+        return pd.Series([avro_bytes({k: None if pd.isna(v) else v for k, v in r.items()}, parsed) for r in rows.to_dict("records")], dtype=object)
+
+    return encode(record)
+
+
+_SPARK_TYPES = {"int": "int", "long": "bigint", "float": "float", "double": "double", "string": "string"}
+
+
+def avro_message(changes: DataFrame, partition: Column, db: str, table: str, columns: Sequence[tuple[str, str, str | None]], registry: SchemaRegistry) -> DataFrame:
+    """(position, key, value, partition, headers): one record for each row; the value is a zero byte, the schema's id in
+    four bytes and the record in Avro's binary form; the header ``meta`` names table and time.
+
+    The schema is registered under the table's subject. All changes are of one table.
+    """
+    text = avro_schema(db, table, columns, meta=True)
+    wire = b"\0" + registry.register(f"bigdata-{db}-{table}-value", text).to_bytes(4, "big")
+    image = F.coalesce("after", "before")
+    own = [F.try_element_at(image, F.lit(n)).cast(_SPARK_TYPES[avro_type(t)]).alias(n) for n, t, _ in columns]
+    meta = [F.col("commit_ts_ms").cast("long").alias("__timestamp"), (F.col("op") == "DELETE").cast("int").alias("__is_deleted"), F.col("position").cast("long").alias("__binlog_position")]
+    header = F.array(F.struct(F.lit("meta").alias("key"), F.encode(header_text(F.lit(db), F.lit(table), F.col("commit_ts_ms")), "UTF-8").alias("value")))
+    value = F.concat(F.lit(wire), avro_column(F.struct(*own, *meta), text))
+    return changes.select("position", F.to_json(event_header(changes), _NULLS).alias("key"), value.alias("value"), partition.alias("partition"), header.alias("headers"))
+
+
 def raw_event_key(ts_ms: Column) -> Column:
     """The time's digits reversed: spreads events of neighbouring times."""
     return F.reverse(ts_ms.cast("string"))
 
 
-def write_cells(cells: DataFrame, path: str, mode: str = "append", compression: str = "snappy") -> None:
-    """Cells as Parquet by table, rows of a key together and in order."""
-    cells.repartition("tbl", "row_key").sortWithinPartitions("tbl", "row_key", "qualifier", "ts_us").write.mode(mode).option("compression", compression).partitionBy("tbl").parquet(path)
+#: Formats of a versioned store, by name.
+STORAGES = ("parquet", "orc", "json")
+
 
+def target_name(tbl: Column, namespace: str = "") -> Column:
+    """A table's name in the store: lower case, after its namespace."""
+    return F.lower(F.concat(F.lit(f"{namespace}:" if namespace else ""), tbl))
 
+
+def write_cells(cells: DataFrame, path: str, mode: str = "append", compression: str = "snappy", storage: str = "parquet", namespace: str = "") -> None:
+    """Cells by table, rows of a key together and in order. Folders of tables are made as they are first seen."""
+    if storage not in STORAGES:
+        raise ValueError(f"unknown storage {storage}, known: {', '.join(STORAGES)}")
+    out = cells.withColumn("tbl", target_name(F.col("tbl"), namespace))
+    out = out.repartition("tbl", "row_key").sortWithinPartitions("tbl", "row_key", "qualifier", "ts_us")
+    writer = out.write.mode(mode).format(storage).partitionBy("tbl")
+    (writer if storage == "json" else writer.option("compression", compression)).save(path)
+
+
+def write_messages(messages: DataFrame, path: str | None = None, **options: str) -> None:
+    """Messages to a broker's topic, by Spark's Kafka module (options: topic, kafka.bootstrap.servers, ...)."""
+    wanted = [c for c in ("key", "value", "partition", "headers", "topic") if c in messages.columns]
+    writer = messages.select(*wanted).write.format("kafka")
+    for k, v in options.items():
+        writer = writer.option(k, v)
+    try:
+        writer.save()
+    except Exception as e:
+        if "kafka" in str(e).lower() and "find data source" in str(e).lower():
+            raise RuntimeError("the KAFKA sink needs Spark's module spark-sql-kafka on the class path") from e
+        raise
+
+
+def dry_run(cells: DataFrame, path: str | None = None, n: int = 20) -> None:
+    """Show what would be written: no write."""
+    cells.groupBy("tbl", "row_key", "ts_us").agg(F.max(F.when(F.col("qualifier") == "row_status", F.col("value"))).alias("status"), F.count("*").alias("cells")).show(n, truncate=False)
+
+
+#: Sinks by name; each takes (rows, path or None, options) and writes.
 SINKS = {
-    "cells": write_cells,
-    "console": lambda df, path=None: df.show(truncate=False),
-    "count": lambda df, path=None: df.groupBy("op").count(),
-    "json": lambda df, path: df.write.mode("append").json(path),
+    "CELLS": write_cells,
+    "KAFKA": write_messages,
+    "CONSOLE": lambda df, path=None, **options: df.show(truncate=False),
+    "COUNT": lambda df, path=None, **options: df.groupBy("op").count().show(),
+    "DRY_RUN": dry_run,
+    "JSON": lambda df, path, **options: df.write.mode("append").json(path),
 }
+
+
+def write(rows: DataFrame, sink: str = "CELLS", path: str | None = None, **options) -> None:
+    """Write by the sink of that name; an unknown name is an error."""
+    if sink.upper() not in SINKS:
+        raise ValueError(f"unknown sink {sink}, known: {', '.join(SINKS)}")
+    SINKS[sink.upper()](rows, path, **options)

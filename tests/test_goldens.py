@@ -215,3 +215,132 @@ def test_settings():
 
 def test_timestamps_are_utc(spark):
     assert one(spark, decode.timestamp(F.lit(0).cast("long"))).replace(tzinfo=timezone.utc) == datetime(1970, 1, 1, tzinfo=timezone.utc)
+
+
+def test_ddl_of_unknown_tables_and_namesakes():
+    s = ddl.SchemaState()
+    s.apply("CREATE TABLE t (a INT)", "x")
+    s.apply("CREATE TABLE y.t (b INT)", "x")
+    assert {t: [c.name for c in cols] for t, cols in s.tables.items()} == {"x.t": ["a"], "y.t": ["b"]}
+    s.apply("ALTER TABLE t ADD (c INT, d DECIMAL(4,2)), RENAME COLUMN a TO z, ALTER c SET DEFAULT 5", "x")
+    assert [(c.name, c.default) for c in s.tables["x.t"]] == [("z", None), ("c", "5"), ("d", None)]
+    assert [c.name for c in s.apply("ALTER TABLE new MODIFY p BIGINT, CHANGE q r INT AFTER nowhere", "x")[0][2]] == ["p", "r"]
+    s.apply("ALTER TABLE t ADD PRIMARY KEY (z), DROP d, RENAME TO u", "x")
+    assert [(c.name, c.key) for c in s.tables["x.u"]] == [("z", "PRI"), ("c", "")] and "x.t" not in s.tables
+
+
+def test_schema_history_of_empty_and_odd_logs(spark):
+    log = "position bigint, sql string"
+    assert ddl.schema_history(spark.createDataFrame([], log)).count() == 0
+    assert ddl.schema_snapshots(spark.createDataFrame([(1, None), (2, "TRUNCATE TABLE t")], log)).count() == 0
+
+
+def test_bootstrap_statements_make_the_tables(spark):
+    cols = [("a.t", 2, "b", "varchar(9)", True, ""), ("a.t", 1, "id", "int unsigned", False, "PRI"), ("a.u", 1, "x", "enum('p','q')", True, "")]
+    made = ddl.bootstrap(spark.createDataFrame(cols, "tbl string, ordinal int, name string, column_type string, nullable boolean, key string"))
+    found = {r.tbl: r.after for r in ddl.schema_history(made.withColumn("db", F.lit("a"))).collect()}
+    assert found == {"a.t": "id int unsigned, b varchar(9)", "a.u": "x enum('p','q')"}
+
+
+def test_sets_of_64_members(spark):
+    members = [f"m{k}" for k in range(64)]
+    assert one(spark, decode.set_members(F.lit((1 << 62) + 1).cast("long"), members)) == "m0,m62"
+    assert one(spark, decode.set_members(F.lit(-1).cast("long"), members)) is None
+
+
+def test_values_of_other_types_inside_json():
+    def document(kind, data):
+        body = bytes([kind, len(data)]) + data
+        whole = bytes([1, 0]) + (4 + 4 + 3 + 1 + len(body)).to_bytes(2, "little") + (11).to_bytes(2, "little") + bytes([1, 0, 15]) + (12).to_bytes(2, "little") + b"k" + body
+        return bytes([0]) + whole
+
+    packed = lambda y, mo, d, h, mi, s: ((((y * 13 + mo) << 5 | d) << 17 | h << 12 | mi << 6 | s) << 24).to_bytes(8, "little")
+    assert decode.json_text(document(246, bytes([4, 2, 0x80 | 12, 34]))) == '{"k":"12.34"}'
+    assert decode.json_text(document(246, bytes([4, 2, (0x80 | 12) ^ 0xFF, 34 ^ 0xFF]))) == '{"k":"-12.34"}'
+    assert decode.json_text(document(246, bytes([14, 4, 0x81, 0, 0, 0, 7, 0, 5]))) == '{"k":"1000000007.0005"}'
+    assert decode.json_text(document(12, packed(2019, 12, 5, 17, 21, 20))) == '{"k":"2019-12-05 17:21:20.000000"}'
+    assert decode.json_text(document(10, packed(2019, 12, 5, 0, 0, 0))) == '{"k":"2019-12-05"}'
+    assert decode.json_text(document(252, b"ab")) == '{"k":"base64:type252:YWI="}'
+
+
+def test_later_changes_of_a_microsecond_win(spark):
+    """60 changes of a key in one transaction, the last a DELETE; of another key, the value written last is not the largest."""
+    rows = [("t", "INSERT" if k == 0 else "UPDATE", ["1"], None if k == 0 else {"v": str(k - 1)}, {"v": str(k)}, k) for k in range(59)]
+    rows.append(("t", "DELETE", ["1"], {"v": "58"}, None, 59))
+    rows += [("t", "INSERT" if k == 0 else "UPDATE", ["2"], None if k == 0 else {"v": f"{99 - k + 1:03d}"}, {"v": f"{99 - k:03d}"}, 100 + k) for k in range(60)]
+    changes = spark.createDataFrame(rows, "tbl string, op string, pk array<string>, before map<string,string>, after map<string,string>, position bigint")
+    changes = changes.withColumns({"base_us": F.lit(10**15), "txn_id": F.lit("x"), "xid": F.lit(0).cast("long"), "row_idx": F.lit(0)})
+    found = cells.to_cells(txn.row_micros(changes, ["txn_id"], ["pk"], ["position"]))
+    assert [(r.row_key.split(";")[1], r.v) for r in read.latest_state(found, ["v"]).collect()] == [("2", "040")]
+    assert {(r.row_key.split(";")[1], r.last_status) for r in read.daily_changes(found).collect()} == {("1", "D"), ("2", "U")}
+    newest = read.newest_versions(found.filter("qualifier = 'v'"), 1).select("row_key", "value").collect()
+    assert {(r.row_key.split(";")[1], r.value) for r in newest} == {("1", "58"), ("2", "040")}
+    kept = txn.last_at_same_micros(found, ["tbl", "row_key", "qualifier", "ts_us"], ["position", "row_idx"])
+    assert [r.v for r in read.latest_state(kept.select("tbl", "row_key", "qualifier", "ts_us", "value"), ["v"]).collect()] == ["040"]
+
+
+def follow(times):
+    """The sequence of commits as the log gives them, one by one."""
+    counter, newest, out = 0, -1, []
+    for t in times:
+        if counter > 9998:
+            counter = 0
+        if t > newest:
+            counter, newest = 0, t
+        elif t == newest:
+            counter += 1
+        out.append(counter)
+    return out
+
+
+@pytest.mark.parametrize("times", [[5, 5, 4, 5, 5], [1, 3, 2, 2, 3, 4, 1, 4], [7] * 10_002 + [6, 7, 7], [7] * 10_000 + [6, 6, 7, 8]])
+def test_sequence_follows_the_log(spark, times):
+    commits = spark.createDataFrame([("s", f"f{k // 700:03d}", k % 700, t) for k, t in enumerate(times)], "server string, file string, position bigint, commit_ts_ms bigint")
+    found = {(r.file, r.position): r.seq for r in txn.commit_sequence(commits).collect()}
+    assert [found[f"f{k // 700:03d}", k % 700] for k in range(len(times))] == follow(times)
+
+
+def test_servers_have_sequences_of_their_own(spark):
+    commits = spark.createDataFrame([(s, "f", p, 1) for s in "ab" for p in range(3)], "server string, file string, position bigint, commit_ts_ms bigint")
+    assert sorted((r.server, r.position, r.seq) for r in txn.commit_sequence(commits).collect()) == [(s, p, p) for s in "ab" for p in range(3)]
+
+
+def test_running_values_cross_files(spark):
+    from chronicell.operators import running
+
+    rows = [("a", k // 3, k, v) for k, v in enumerate([None, 5, 2, None, None, 1, None, 7, None, None])]
+    log = spark.createDataFrame(rows, "s string, f int, p int, v int")
+    args = (["s"], ["f"], ["p"], "x")
+    assert [r.x for r in running.last_known(log, F.col("v"), *args).orderBy("p").collect()] == [None, 5, 2, 2, 2, 1, 1, 7, 7, 7]
+    assert [r.x for r in running.running_max(log, F.col("v"), *args).orderBy("p").collect()] == [None, 5, 5, 5, 5, 5, 5, 7, 7, 7]
+    assert [r.x for r in running.running_count(log, *args).orderBy("p").collect()] == list(range(1, 11))
+
+
+def test_unknown_table_id_is_an_error(spark):
+    log = spark.createDataFrame([(1, 7, None), (2, 7, "db.t")], "position int, id int, name string")
+    with pytest.raises(Exception, match="no tbl known"):
+        augment.known_before(log, F.col("name"), ["id"], ["position"], "tbl", required=True).collect()
+    known = augment.known_before(log.filter("position = 2"), F.col("name"), ["id"], ["position"], "tbl", required=True)
+    assert [r.tbl for r in known.collect()] == ["db.t"]
+
+
+def test_registries(spark):
+    rows = spark.createDataFrame([("db", "t_201912", 3, "u:1")], "db string, tbl string, xid bigint, txn_id string")
+    assert [(r.tbl, r.orig_tbl) for r in augment.event_filter(rows, "TABLE_MERGE_PATTERN", {"pattern": r"_\d{6}"}).collect()] == [("t", "t_201912")]
+    assert augment.event_filter(rows).collect() == rows.collect()
+    for name in resume.PARTITIONERS:
+        assert rows.select(resume.partition_of(name, rows, 4).alias("p")).first().p in range(4)
+    for unknown in (lambda: augment.event_filter(rows, "NO"), lambda: resume.partition_of("NO", rows, 4)):
+        with pytest.raises(ValueError):
+            unknown()
+
+
+def test_payload_rows_need_a_transaction(spark):
+    row = spark.createDataFrame([("ctx", "INSERT", ["1"], None, {"v": "1"}, 1, None, 0, 1, 0)], CHANGES)
+    with pytest.raises(Exception, match="needs a transaction id"):
+        cells.to_cells(row, payload_table="ctx").collect()
+
+
+def test_transactions_off(spark):
+    log = spark.createDataFrame([("s", "f", 1, "BEGIN"), ("s", "f", 2, "ROW")], "server string, file string, position bigint, kind string")
+    assert txn.assemble(log).count() == 0 and [r.txn_no for r in txn.assemble(log, transactions=False).collect()] == [None, None]

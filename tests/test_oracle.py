@@ -38,5 +38,6 @@ def test_every_query_is_checked_or_tested_apart():
 def test_columns_before_follow_the_statements(spark):
     rows = registry.QUERIES["schema_before_after"](spark, DATA).collect()
     seen = {(r.position, r.tbl): (r.before, r.after) for r in rows}
-    assert len(rows) == 8 and seen[4, "_animal_old"] == ("id integer, name varchar(30)", None)
-    assert seen[0, "animal"] == (None, "id integer, name varchar(30)")
+    old = "no int unsigned, total decimal(9,2), state enum('Open','Paid')"
+    assert len(rows) == 15 and seen[7, "shop.invoice_past"] == (old, None)
+    assert seen[0, "shop.invoice"] == (None, old)
