@@ -6,6 +6,8 @@ its text that way, or fails the base rules, is rejected. All sums are over whole
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,19 +17,13 @@ from chronicell.llm.base import SPACE, table, text_or_empty
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: A document is rejected when more than this part (per cent) of the characters of its lines was removed.
 MAX_LOST_PERCENT = 50
-#: Lower-case phrases that mark a line as boilerplate.
+#: Lower-case phrases that mark a line as boilerplate, in the languages of the corpus (English, German, French, Spanish).
 BOILERPLATE = (
-    "all rights reserved",
-    "cookie policy",
-    "privacy policy",
-    "terms of service",
-    "terms of use",
-    "enable javascript",
-    "lorem ipsum",
-    "sign up for our newsletter",
-    "skip to content",
-    "click here to subscribe",
-)
+    "all rights reserved", "cookie policy", "privacy policy", "terms of service", "terms of use", "enable javascript", "lorem ipsum", "sign up for our newsletter", "skip to content", "click here to subscribe",
+    "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "newsletter abonnieren", "zum inhalt springen",
+    "tous droits réservés", "politique de confidentialité", "conditions d’utilisation", "mentions légales", "aller au contenu",
+    "todos los derechos reservados", "política de privacidad", "política de cookies", "términos de uso", "saltar al contenido",
+)
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -43,8 +39,9 @@ def _count(col: Column, chars: str) -> Column:
 
 
 def _words(col: Column) -> Column:
-    """Words of a line by its inner spaces: a run of n separators counts as n."""
-    return _count(F.trim(col, F.lit(SPACE)), SPACE) + 1
+    """Words of a line that has one: its inner separators plus one, where no two of them are neighbours."""
+    inner = F.trim(col, F.lit(SPACE))
+    return F.when(inner.rlike(r"[\x20\x09-\x0D]{2}"), F.size(F.split(inner, r"[\x20\x09-\x0D]+", -1))).otherwise(_count(inner, SPACE) + 1)
 
 
 def line_fails(line: Column) -> Column:
@@ -54,9 +51,8 @@ def line_fails(line: Column) -> Column:
     punctuation = line.rlike("[#*$%&<>!]") & (_count(line, "#*$%&<>!") * 3 > words)
     upper = F.length(line) - F.length(F.regexp_replace(line, "[A-Z]+", ""))
     shouting = (upper * 2 > F.length(line)) & (words >= 5)
-    boilerplate = F.lit(False)
-    for phrase in BOILERPLATE:
-        boilerplate = boilerplate | F.lower(line).contains(phrase)
+    # One element, so that the lower-case line is made once for all phrases.
+    boilerplate = F.exists(F.array(F.lower(line)), lambda low: reduce(lambda a, b: a | b, (low.contains(p) for p in BOILERPLATE)))
     return navigation | punctuation | shouting | boilerplate
 
 
@@ -137,7 +133,7 @@ def _sql_count(x: str, chars: str) -> str:
 
 _SP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _TRIM = f"trim(x, {_SP})"
-_W = f"(length({_TRIM}) - length(translate({_TRIM}, {_SP}, '')) + 1)"
+_W = r"len(regexp_extract_all(x, '[^\x20\x09-\x0D]+'))"
 _LOW = "lower(x)"
 _FAILS = f"""(({_sql_count("x", "|")} >= 2 AND {_sql_count("x", "|")} * 4 >= {_W}) OR ({_W} <= 3 AND {_sql_count("x", ".!?:;,")} = 0)
   OR ({_sql_count("x", "#*$%&<>")} + {_sql_count("x", "!")}) * 3 > {_W}

@@ -10,15 +10,15 @@ import pytest
 import tiktoken
 
 import corpus_pipeline as P
-from chronicell.llm import byte_bpe
+from chronicell.llm import byte_bpe, quality_rules
 from tests.llm.test_near_dedup import brute_classes
 
 SPACE = " \t\n\x0b\x0c\r"
-PHRASES = ("all rights reserved", "cookie policy", "privacy policy", "terms of service", "terms of use", "enable javascript", "lorem ipsum", "sign up for our newsletter", "skip to content", "click here to subscribe")
+PHRASES = quality_rules.BOILERPLATE
 
 
 def line_fails(x):
-    words = sum(c in SPACE for c in x.strip(SPACE)) + 1
+    words = len(re.findall(r"[^\x20\x09-\x0D]+", x))
     pipes = x.count("|")
     return (
         (pipes >= 2 and pipes * 4 >= words)
@@ -88,7 +88,7 @@ def corpus():
         if kind == 3:
             lines = [" | ".join(word() for _ in range(30))] * 2 + lines[:1]
         if kind == 4:
-            lines += ["Home", "Terms of use apply here, and more.", ""]
+            lines += ["Home", "Home     about", "Terms of use apply here, and more.", "Alle Rechte vorbehalten, hier und dort.", ""]
         if kind == 5:
             lines = [" ".join([word()] * 40)] * 2
         if kind == 6 and i > 9:
