@@ -1,29 +1,35 @@
 r"""PII: detected entities are replaced by keyed surrogates (DataFrame functions only).
 
-Detected are e-mail addresses, IPv4 addresses, telephone numbers, social security numbers, payment cards (13 to 19 digits
-with a right check digit), access keys, values after password or token, and names after a title. A surrogate has its
-entity's type and format: digits stay digits and separators stay where they are, a card keeps its first digit and a right
-check digit, a telephone number its country code, an address becomes one of a reserved range, a name keeps its title, its
-case, its script and the gender that the title tells.
+Detected are e-mail addresses, IPv4 addresses, telephone numbers (with a country code, or of ten digits in national
+form), social security numbers, payment cards (13 to 19 digits with a right check digit), access keys, values after
+password or token, and names after a title, of which later mentions in the same document are found without it. A
+surrogate has its entity's type and format: digits stay digits and separators stay where they are, a card keeps its first
+digit and a right check digit, a telephone number its country code, an address becomes one of a reserved range, a name
+keeps its title, its case, its apostrophe or hyphen, its script and its gender.
 """
 
 from __future__ import annotations
 
+import hashlib
 import itertools
+import secrets
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronicell.llm.base import materialize, table, text_or_empty
+from chronicell.llm.base import free, materialize, table, text_or_empty
 
-KEY = "chronicell"
+#: The session's setting that holds the secret key.
+KEY_SETTING = "spark.chronicell.pii.key"
+_DRAWN = secrets.token_hex(32)  # the key of sessions that set none: surrogates agree within this process only
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _TITLES = {
-    "m": ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος"),
-    "f": ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "Κυρία"),
-    "n": ("Dr", "Prof", "Доктор"),
+    "m": ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος", "السيد", "מר", "श्री"),
+    "f": ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "Κυρία", "السيدة", "גברת", "श्रीमती"),
+    "n": ("Dr", "Prof", "Доктор", "الدكتور"),
 }
-_NAME = r"\p{Lu}[\p{L}'’-]+"
+#: Words that begin with a capital letter, or are of a script without capitals.
+_NAME = r"[\p{Lu}\p{Lt}\p{Lo}][\p{L}\p{M}'’-]+"
 #: Digits in groups, each one space or hyphen apart: where they hold a card, it is found by its check digit and marked
 #: with two noncharacters before all patterns are looked for.
 _RUN = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,}+(?![0-9])"
@@ -34,31 +40,53 @@ PATTERNS = (
     ("key", r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"),
     ("secret", r"(?i:password|passwd|secret|token|api_key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?(?=[_/+-]*[A-Za-z0-9])[A-Za-z0-9_/+-]{8,}"),
     ("ip", rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"),
-    ("phone", r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])"),
+    ("phone", r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])|(?<![0-9+(.-])(?:\([0-9]{3}\)[ ]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]|[.-][0-9])"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     ("card", rf"{_OPEN}[0-9](?:[ -]?[0-9]){{12,}}+{_CLOSE}"),
     ("name", rf"(?<![\p{{L}}])(?:{'|'.join(t for g in _TITLES.values() for t in g)})\.?[ ]{_NAME}(?:[ ]{_NAME})?"),
 )
 ANY = "|".join(p for _, p in PATTERNS)
 _BEFORE_CARDS = "|".join(_RUN if k == "card" else p for k, p in PATTERNS)
+# Made-up names: sixteen syllables of a script, and the endings of a man's, a woman's, any given name and a surname.
 _SYLLABLES = {
     "latin": ("ba", "be", "da", "de", "fi", "ga", "ka", "la", "li", "ma", "mo", "na", "ra", "ro", "sa", "ta"),
     "cyrillic": ("ба", "бе", "да", "де", "фи", "га", "ка", "ла", "ли", "ма", "мо", "на", "ра", "ро", "са", "та"),
     "greek": ("βα", "βε", "δα", "δε", "φι", "γα", "κα", "λα", "λι", "μα", "μο", "να", "ρα", "ρο", "σα", "τα"),
+    "arabic": ("با", "بي", "دا", "دي", "في", "كا", "لا", "لي", "ما", "مو", "نا", "را", "رو", "سا", "تا", "كي"),
+    "hebrew": ("בא", "בי", "דא", "די", "פי", "גא", "קא", "לא", "לי", "מא", "מו", "נא", "רא", "רו", "סא", "תא"),
+    "devanagari": ("बा", "बे", "दा", "दे", "फी", "गा", "का", "ला", "ली", "मा", "मो", "ना", "रा", "रो", "सा", "ता"),
+    "hangul": ("가", "나", "다", "라", "마", "바", "사", "아", "자", "차", "카", "타", "파", "하", "고", "노"),
+    "kana": ("ア", "イ", "カ", "キ", "サ", "シ", "タ", "ナ", "ニ", "ハ", "マ", "ミ", "ラ", "リ", "ロ", "ワ"),
+    "han": ("安", "白", "成", "东", "方", "高", "国", "海", "江", "林", "明", "宁", "平", "青", "文", "云"),
 }
 _ENDINGS = {
-    ("m", "latin"): "ran", ("f", "latin"): "rina", ("n", "latin"): "rel", ("s", "latin"): "ston",
-    ("m", "cyrillic"): "ран", ("f", "cyrillic"): "рина", ("n", "cyrillic"): "рел", ("s", "cyrillic"): "стон",
-    ("m", "greek"): "ραν", ("f", "greek"): "ρινα", ("n", "greek"): "ρελ", ("s", "greek"): "στον",
+    "latin": ("ran", "rina", "rel", "ston"), "cyrillic": ("ран", "рина", "рел", "стон"), "greek": ("ραν", "ρινα", "ρελ", "στον"),
+    "arabic": ("ن", "ة", "ل", "ي"), "hebrew": ("ן", "ית", "ל", "י"), "devanagari": ("न", "नी", "ल", "कर"),
+    "hangul": ("준", "희", "진", ""), "kana": ("オ", "コ", "ミ", "ダ"), "han": ("伟", "芳", "华", ""),
 }
+#: Scripts by a letter that they have, in the order of testing; other scripts get Latin surrogates.
+_SCRIPTS = {"cyrillic": "IsCyrillic", "greek": "IsGreek", "arabic": "IsArabic", "hebrew": "IsHebrew", "devanagari": "IsDevanagari", "hangul": "IsHangul", "kana": "IsHiragana}\\p{IsKatakana", "han": "IsHan"}
 #: A value that has no free surrogate after so many attempts gets longer ones, by one more character or syllable each time.
 LONGER_AFTER = 8
 
 
-def _hash(*parts: Column) -> Column:
+def session_key(spark: SparkSession) -> str:
+    """The secret key of the session's settings; where there is none, one drawn at random for this process."""
+    return spark.conf.get(KEY_SETTING, "") or spark.sparkContext.getConf().get(KEY_SETTING, "") or _DRAWN
+
+
+def hmac_sha512(key: str, message: Column) -> Column:
+    """HMAC-SHA512 in hex digits, by the definition (RFC 2104)."""
+    own = key.encode()
+    own = (hashlib.sha512(own).digest() if len(own) > 128 else own).ljust(128, b"\0")
+    inner, outer = (F.lit(bytes(b ^ x for b in own)) for x in (0x36, 0x5C))
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, message.cast("binary")), 512))), 512)
+
+
+def _hash(key: str, *parts: Column) -> Column:
     """512 hex digits that key, kind, value and attempt decide."""
     text = F.concat_ws("\x1f", *parts)
-    return F.concat(*[F.sha2(F.concat(F.lit(str(k)), text), 512) for k in range(4)])
+    return F.concat(*[hmac_sha512(key, F.concat(F.lit(str(k)), text)) for k in range(4)])
 
 
 def _digits(col: Column) -> Column:
@@ -129,20 +157,40 @@ def _same_classes(value: Column, stream: Column, hex_only: Column) -> Column:
 
 
 def _script(word: Column) -> Column:
-    return F.when(word.rlike(r"\p{IsCyrillic}"), "cyrillic").when(word.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
+    out = F.lit("latin")
+    for name, letters in reversed(_SCRIPTS.items()):
+        out = F.when(word.rlike(rf"[\p{{{letters}}}]"), name).otherwise(out)
+    return out
+
+
+def _syllable(name: str, digit: Column) -> Column:
+    return F.get(F.array(*map(F.lit, _SYLLABLES[name])), F.conv(digit, 16, 10).cast("int"))
 
 
 def _word(kind: Column, word: Column, stream: Column) -> Column:
-    """A made-up name of four syllables with the ending of its gender (of a surname: its own)."""
+    """A made-up name of four syllables (of scripts that write one with a character, two) with the ending of its gender
+    (of a surname: its own)."""
     out = F.lit(None).cast("string")
     script = _script(word)
-    for (gender, name), ending in _ENDINGS.items():
-        syllables = F.array(*map(F.lit, _SYLLABLES[name]))
-        made = F.concat(*[F.get(syllables, F.conv(F.substring(stream, k + 1, 1), 16, 10).cast("int")) for k in range(4)], F.lit(ending))
-        out = F.when((kind == F.lit(f"name-{gender}")) & (script == name), F.initcap(made)).otherwise(out)
+    for name, endings in _ENDINGS.items():
+        made = F.concat(*[_syllable(name, F.substring(stream, k + 1, 1)) for k in range(2 if name in ("han", "hangul") else 4)])
+        ending = F.lit(None).cast("string")
+        for gender, text in zip("mfns", endings):
+            ending = F.when(kind == F.lit(f"name-{gender}"), text).otherwise(ending)
+        out = F.when(script == name, F.initcap(F.concat(made, ending))).otherwise(out)
     return out
 
 
+def _styled(new: Column, old: Column) -> Column:
+    """A made-up name written as the old one: all capitals, or with an apostrophe after the first letter or a hyphen."""
+    first = F.regexp_extract(old, r"^\p{L}{1,2}(['’])(?=\p{L})", 1)
+    lower = F.concat(F.substring(new, 1, 1), first, F.initcap(F.substring(new, F.lit(2), F.length(new))))
+    half = (F.length(new) / 2).cast("int")
+    hyphened = F.concat(F.substring(new, F.lit(1), half), F.lit("-"), F.initcap(F.substring(new, half + 1, F.length(new))))
+    out = F.when(first != "", lower).when(old.rlike(r"\p{L}-\p{L}"), hyphened).otherwise(new)
+    return F.when((old == F.upper(old)) & (old != F.lower(old)) & (F.length(old) > 1), F.upper(out)).otherwise(out)
+
+
 def _surrogate(kind: Column, canon: Column, stream: Column) -> Column:
     """The canonical surrogate of a canonical value (digits for numbers, lower case for addresses)."""
     numbers = F.translate(stream, "abcdef", "123456")
@@ -175,8 +223,8 @@ def _longer(kind: Column, canon: Column, surrogate: Column, stream: Column, atte
         .when(kind == "secret", F.concat(surrogate, more))
     )
     script = _script(canon)
-    for name, syllables in _SYLLABLES.items():
-        added = F.array_join(F.transform(F.split(more, ""), lambda c: F.get(F.array(*map(F.lit, syllables)), F.conv(c, 16, 10).cast("int"))), "")
+    for name in _SYLLABLES:
+        added = F.array_join(F.transform(F.split(more, ""), lambda c: _syllable(name, c)), "")
         out = F.when(kind.startswith("name-") & (script == name), F.initcap(F.concat(added, F.lower(surrogate)))).otherwise(out)
     return F.when(n > 0, F.coalesce(out, surrogate)).otherwise(surrogate)
 
@@ -185,7 +233,7 @@ def _canonical(entities: DataFrame) -> DataFrame:
     """(entity, kind, canon, rest): rest is what else the surrogate is made of (an address's domain, a given name)."""
     e, kind = F.col("entity"), F.col("kind")
     country = F.regexp_extract(e, r"^\+([0-9]{1,3})(?=[ .(-])", 1)
-    country = F.when(country != "", country).otherwise(F.substring(e, 2, 1))
+    country = F.when(~e.startswith("+"), "").when(country != "", country).otherwise(F.substring(e, 2, 1))
     number = _digits(e)
     words = F.split(e, " ")
     gender = F.lit("n")
@@ -200,27 +248,35 @@ def _canonical(entities: DataFrame) -> DataFrame:
         .otherwise(e)
     )
     rest = F.when(kind == "email", F.lower(F.substring_index(e, "@", -1))).when((kind == "name") & (F.size(words) == 3), F.lower(F.get(words, F.lit(1))))
-    return entities.select("entity", "kind", canon.alias("canon"), rest.alias("rest"), F.concat(F.lit("name-"), gender).alias("rest_kind"))
+    return entities.select("entity", "kind", canon.alias("canon"), rest.alias("rest"), gender.alias("gender"))
+
+
+def _with_rest_kind(forms: DataFrame) -> DataFrame:
+    """Adds rest_kind: a given name has the gender that its titles tell anywhere, any where they tell none or both."""
+    told = forms.filter("kind = 'name' AND rest IS NOT NULL").groupBy(F.col("rest").alias("_rest")).agg(F.bool_or(F.col("gender") == "m").alias("m"), F.bool_or(F.col("gender") == "f").alias("f"))
+    told = told.select("_rest", F.when(F.col("m") & ~F.col("f"), "name-m").when(F.col("f") & ~F.col("m"), "name-f").otherwise("name-n").alias("rest_kind"))
+    return forms.join(told, forms["rest"].eqNullSafe(told["_rest"]) & (forms["kind"] == "name"), "left").drop("_rest", "gender")
 
 
-def surrogate_map(entities: DataFrame, key: str = KEY) -> DataFrame:
-    """(entity, surrogate) for different (entity, kind).
+def surrogate_map(entities: DataFrame, key: str | None = None) -> DataFrame:
+    """(entity, kind, surrogate, pairs) for different (entity, kind); pairs are the words of a name with the new ones.
 
     Values are compared in a canonical form (digits of a number, lower case of an address or name), so an entity has one
     surrogate however it is written and wherever it stands, and so have a domain, a given name and a surname of their own.
-    Surrogates come from a hash of key, kind and value. Where two values of a kind would get the same surrogate, or
+    Surrogates come from an HMAC of kind and value under ``key`` (None: the session's). Where two values of a kind would get the same surrogate, or
     one that is itself a value found in the corpus, the smallest value keeps it (in the second case none does) and the
     others try again, with longer surrogates after LONGER_AFTER attempts, until all differ. Addresses differ by their
     local part or by their domain, which has a surrogate of its own.
     """
-    forms = materialize(_canonical(entities), "pii-forms")
+    key = key or session_key(entities.sparkSession)
+    forms = materialize(_with_rest_kind(_canonical(entities)), "pii-forms")
     main = forms.select(F.when(F.col("kind") == "name", "name-s").otherwise(F.col("kind")).alias("kind"), "canon")
     more = forms.filter("rest IS NOT NULL").select(F.when(F.col("kind") == "email", "domain").otherwise(F.col("rest_kind")).alias("kind"), F.col("rest").alias("canon"))
     values = materialize(main.unionByName(more).distinct(), "pii-values")
     made = values.select("kind", "canon", F.lit(0).alias("attempt"))
     scope = F.when(F.col("kind") == "email", F.substring_index("canon", "@", -1)).otherwise("")
     for k in itertools.count():
-        streamed = made.select("kind", "canon", "attempt", _hash(F.lit(key), F.col("kind"), F.col("canon"), F.col("attempt").cast("string")).alias("stream"))
+        streamed = made.select("kind", "canon", "attempt", _hash(key, F.col("kind"), F.col("canon"), F.col("attempt").cast("string")).alias("stream"))
         # Written before use: the stream is read character by character and must not be hashed anew for each.
         streamed = materialize(streamed, f"pii-streams-{k}")
         tried = streamed.select("kind", "canon", "attempt", _surrogate(F.col("kind"), F.col("canon"), F.col("stream")).alias("surrogate"), "stream")
@@ -228,11 +284,13 @@ def surrogate_map(entities: DataFrame, key: str = KEY) -> DataFrame:
         tried = materialize(tried.select("kind", "canon", "attempt", longer.alias("surrogate")), f"pii-tried-{k}")
         winners = tried.groupBy("kind", "surrogate", scope.alias("_scope")).agg(F.min("canon").alias("canon"))
         taken = values.select("kind", F.lower("canon").alias("surrogate"))
-        free = winners.withColumn("_low", F.lower("surrogate")).join(taken.withColumnRenamed("surrogate", "_low"), ["kind", "_low"], "left_anti").drop("_low")
-        good = free.select("kind", "canon", F.lit(True).alias("good"))
+        unused = winners.withColumn("_low", F.lower("surrogate")).join(taken.withColumnRenamed("surrogate", "_low"), ["kind", "_low"], "left_anti").drop("_low")
+        good = unused.select("kind", "canon", F.lit(True).alias("good"))
         judged = materialize(tried.join(good, ["kind", "canon"], "left"), f"pii-judged-{k}")
+        free(streamed, tried, *([last] if k else []))
         if judged.filter("good IS NULL").isEmpty():
             break
+        last = judged
         made = judged.select("kind", "canon", (F.col("attempt") + F.when(F.col("good").isNull(), 1).otherwise(0)).alias("attempt"))
     found = judged.select("kind", "canon", "surrogate")
     a = found.withColumnsRenamed({"kind": "_kind", "canon": "_canon", "surrogate": "own"})
@@ -241,9 +299,9 @@ def surrogate_map(entities: DataFrame, key: str = KEY) -> DataFrame:
     second = F.when(F.col("kind") == "email", "domain").otherwise(F.col("rest_kind"))
     joined = forms.join(a, (named == F.col("_kind")) & (F.col("canon") == F.col("_canon"))).join(b, (second == F.col("_kind2")) & (F.col("rest") == F.col("_canon2")), "left")
     e, kind, own, other = F.col("entity"), F.col("kind"), F.col("own"), F.col("other")
-    cased = lambda new, old: F.when((old == F.upper(old)) & (F.length(old) > 1), F.upper(new)).otherwise(new)
     words = F.split(e, " ")
-    full = F.concat_ws(" ", F.get(words, F.lit(0)), F.when(other.isNotNull(), cased(other, F.get(words, F.lit(1)))), cased(own, F.element_at(words, -1)))
+    surname, given = F.element_at(words, -1), F.get(words, F.lit(1))
+    full = F.concat_ws(" ", F.get(words, F.lit(0)), F.when(other.isNotNull(), _styled(other, given)), _styled(own, surname))
     out = (
         F.when(kind.isin("phone", "ssn", "card"), _in_format(F.translate(e, _OPEN + _CLOSE, ""), _digits(own)))
         .when(kind == "email", F.concat(own, other))
@@ -251,15 +309,30 @@ def surrogate_map(entities: DataFrame, key: str = KEY) -> DataFrame:
         .when(kind == "secret", F.concat(F.regexp_extract(e, "^(.*?)[A-Za-z0-9_/+-]+$", 1), own))
         .otherwise(own)
     )
-    return joined.select("entity", "kind", out.alias("surrogate"))
+    pair = lambda old, new: F.struct(old.alias("old"), _styled(new, old).alias("new"))
+    pairs = F.when(kind == "name", F.array_compact(F.array(pair(surname, own), F.when(other.isNotNull(), pair(given, other)))))
+    made = materialize(joined.select("entity", "kind", out.alias("surrogate"), pairs.alias("pairs")), "pii-surrogates")
+    free(forms, values, judged)
+    return made
 
 
-def replace_entities(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _later_mentions(text: Column, pairs: Column) -> Column:
+    """The text with the words of ``pairs`` replaced wherever they stand alone, as written and in capitals."""
+    both = F.flatten(F.transform(pairs, lambda p: F.array(p, F.struct(F.upper(p["old"]).alias("old"), F.upper(p["new"]).alias("new")))))
+    whole = lambda old: F.concat(F.lit(r"(?<![\p{L}\p{M}\p{N}])\Q"), old, F.lit(r"\E(?![\p{L}\p{M}\p{N}])"))
+    return F.aggregate(F.filter(both, lambda p: F.length(p["old"]) > 1), text, lambda t, p: F.when(F.contains(t, p["old"]), F.regexp_replace(t, whole(p["old"]), p["new"])).otherwise(t))
+
+
+def replace_entities(docs: DataFrame, key: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns, with surrogates in their texts, and n_entities (array kinds: the kinds, in order).
 
     Texts are cut at their entities; the pieces between stay with the text, only the entities are exploded, looked up
-    and gathered again by document. Equal rows are looked up once. Null and empty texts have no entities and stay;
-    null ids are an id; empty tables give no rows; columns named n_entities or kinds are replaced.
+    and gathered again by document. The words of a document's names are then replaced wherever else they stand in it.
+    Equal rows are looked up once. ``key`` is a secret (None: that of the session, see ``session_key``). Tables of what
+    was found in clear text are deleted before this returns; what is left holds surrogates and the words of names.
+
+    Null and empty texts have no entities and stay; null ids are an id; empty tables give no rows; very long texts are
+    read whole; columns named n_entities or kinds are replaced, other names do not clash.
     """
     rest = docs.drop("n_entities", "kinds")
     fp = F.xxhash64(text_or_empty(text_col))
@@ -269,13 +342,16 @@ def replace_entities(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", te
     found = rest.select(doc.alias("_doc"), fp.alias("_fp"), F.posexplode_outer(hits).alias("_pos", "entity")).filter("_pos IS NOT NULL")
     found = materialize(found.distinct(), "pii-found")
     kinds = materialize(found.select("entity").distinct().withColumn("kind", _kind(F.col("entity"))).filter("kind IS NOT NULL"), "pii-kinds")
-    replaced = materialize(surrogate_map(kinds, key), "pii-surrogates")
-    looked_up = found.join(replaced, "entity", "left").select("_doc", "_fp", F.struct("_pos", F.coalesce("surrogate", "entity").alias("new"), "kind").alias("x"))
-    by_doc = looked_up.groupBy("_doc", "_fp").agg(F.sort_array(F.collect_list("x")).alias("_new"))
+    replaced = surrogate_map(kinds, key)
+    looked_up = found.join(replaced, "entity", "left").select("_doc", "_fp", F.struct("_pos", F.coalesce("surrogate", "entity").alias("new"), "kind", "pairs").alias("x"))
+    by_doc = materialize(looked_up.groupBy("_doc", "_fp").agg(F.sort_array(F.collect_list("x")).alias("_new")), "pii-by-document")
+    free(found, kinds, replaced)
     own = rest.withColumns({"_id": doc, "_key": fp})
     joined = own.join(by_doc, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_fp")), "left")
     pieces = F.split(mark_cards(F.col(text_col)), f"(?:{ANY})", -1)
     text = F.array_join(F.zip_with(pieces, F.concat(F.transform("_new", lambda x: x["new"]), F.array(F.lit(""))), lambda g, n: F.concat(g, n)), "")
+    pairs = F.array_distinct(F.flatten(F.filter(F.transform("_new", lambda x: x["pairs"]), lambda p: p.isNotNull())))
+    text = F.when(F.size(pairs) > 0, _later_mentions(text, pairs)).otherwise(text)
     known = F.filter(F.transform("_new", lambda x: x.kind), lambda k: k.isNotNull())
     return joined.select(
         *[F.when(F.col("_new").isNotNull(), text).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c) for c in rest.columns],

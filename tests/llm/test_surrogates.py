@@ -1,6 +1,12 @@
+import hashlib
+import hmac
+import random
 import re
+from collections import defaultdict
 
 import pytest
+import regex
+from pyspark.sql import functions as F
 
 from chronicell.llm import surrogates as S
 
@@ -105,3 +111,133 @@ def test_cards_beside_digits_and_long_secrets(docs_of):
     assert re.fullmatch(r"4\d{15} 12/26", out[1].text) and re.fullmatch(r"12 4\d{3}( \d{4}){3}", out[2].text) and out[6].text == rows[5][1]
     assert luhn(out[1].text[:16]) and out[1].text[:16] == out[2].text[3:].replace(" ", "") == out[3].text[:19].replace(" ", "") == out[4].text[:16] != "4111111111111111"
     assert re.fullmatch(r"token=([a-z][0-9][A-Z][0-9]){100}", out[5].text) and "a1B2a1B2" not in out[5].text
+
+
+def test_keyed_hash_is_hmac(spark):
+    for key in ("k", "a longer key " * 20):
+        got = spark.range(1).select(S.hmac_sha512(key, F.lit("message é"))).first()[0]
+        assert got == hmac.new(key.encode(), "message é".encode(), hashlib.sha512).hexdigest()
+
+
+def test_key_comes_from_the_session(spark, docs_of):
+    text = [(1, "peer 55.63.178.142")]
+    spark.conf.set(S.KEY_SETTING, "of the session")
+    try:
+        own = S.replace_entities(docs_of(text)).first().text
+    finally:
+        spark.conf.unset(S.KEY_SETTING)
+    assert own == S.replace_entities(docs_of(text), key="of the session").first().text != S.replace_entities(docs_of(text)).first().text
+
+
+def test_later_mentions_scripts_and_forms(docs_of):
+    rows = [
+        (1, "Mr John Smith came. Smith said that John, SMITH and Smithson left; Blacksmith too."), (2, "Smith and John are elsewhere."),
+        (3, "Mr. 王小明 and Dr 김철수, السيد محمد علي, मिलें श्री राम शर्मा"), (4, "Ms O'Neil met Mr Jones-Brown and Dr Jane Smith"), (5, "Ms Jane Smith"),
+        (6, "call (743) 555-3824 or 743-555-3824 or 743.555.3824, not 12743-555-3824, 743-555-38240 or 2024-01-02"),
+    ]
+    out = {r.doc_id: r.text for r in S.replace_entities(docs_of(rows), key="k").collect()}
+    m = re.fullmatch(r"Mr (\w+) (\w+) came\. (\w+) said that (\w+), (\w+) and Smithson left; Blacksmith too\.", out[1])
+    assert m and m[2] == m[3] != "Smith" and m[1] == m[4] != "John" and m[5] == m[2].upper()
+    assert out[2] == rows[1][1]
+    m = regex.fullmatch(r"Mr\. (\p{Han}+) and Dr (\p{Hangul}+), السيد (\p{Arabic}+) (\p{Arabic}+), मिलें श्री ([\p{Devanagari}]+) ([\p{Devanagari}]+)", out[3])
+    assert m and not set(m.groups()) & {"王小明", "김철수", "محمد", "علي", "राम", "शर्मा"}
+    m = regex.fullmatch(r"Ms \p{Lu}'\p{Lu}\p{Ll}+ met Mr \p{Lu}\p{Ll}+-\p{Lu}\p{Ll}+ and Dr (\w+) (\w+)", out[4])
+    assert m and out[5] == f"Ms {m[1]} {m[2]}" and m[1].endswith("rina") and m[2] == re.search(r"Mr \w+ (\w+)", out[1])[1]
+    a, b, c = re.fullmatch(r"call \((\d{3}\) \d{3}-\d{4}) or (\d{3}-\d{3}-\d{4}) or (\d{3}\.\d{3}\.\d{4}), not 12743-555-3824, 743-555-38240 or 2024-01-02", out[6]).groups()
+    assert len({re.sub(r"\D", "", x) for x in (a, b, c)}) == 1 and "7435553824" != re.sub(r"\D", "", a)
+
+
+def test_long_texts_and_clashing_columns(docs_of):
+    long = "word " * 200_000 + "at 55.63.178.142 " + "word " * 200_000 + "again 55.63.178.142"
+    docs = docs_of([(1, long), (2, None)]).withColumns({"kinds": F.lit("x"), "n_entities": F.lit(7), "entity": F.lit("e"), "kind": F.lit("k"), "surrogate": F.lit("s")})
+    out = {r.doc_id: r for r in S.replace_entities(docs, key="k").collect()}
+    assert out[1].kinds == ["ip", "ip"] and out[2].n_entities == 0 and (out[1].entity, out[1].kind, out[1].surrogate) == ("e", "k", "s")
+    one, two = re.findall(r"\d+\.\d+\.\d+\.\d+", out[1].text)
+    assert one == two != "55.63.178.142" and len(out[1].text) == len(long) - 2 * (len("55.63.178.142") - len(one))
+
+
+def brute_cards(run):
+    """[start, end) of what is covered by cards of whole groups of a run of digits, overlapping ones as one."""
+    groups = [(m.start(), m.end()) for m in re.finditer(r"[0-9]+", run)]
+    covered = []
+    for i, (lo, _) in enumerate(groups):
+        for _, hi in reversed(groups[i:]):
+            digits = re.sub(r"\D", "", run[lo:hi])
+            if 13 <= len(digits) <= 19 and luhn(digits):
+                covered.append([lo, hi])
+                break
+    out = []
+    for lo, hi in covered:
+        if out and lo < out[-1][1]:
+            out[-1][1] = max(out[-1][1], hi)
+        else:
+            out.append([lo, hi])
+    return out
+
+
+def brute_entities(text):
+    """(kind, start, end), leftmost first; at one place in the order of precedence; cards by trying every part of a run."""
+    kinds = [(k, regex.compile(S._RUN if k == "card" else p)) for k, p in S.PATTERNS]
+    out, at = [], 0
+    while at <= len(text):
+        found = [(m.start(), n, k, m) for n, (k, p) in enumerate(kinds) if (m := p.search(text, at))]
+        if not found:
+            break
+        start, _, kind, m = min(found, key=lambda x: x[:2])
+        if kind == "card":
+            cards = [(start + lo, start + hi) for lo, hi in brute_cards(m[0])]
+            rest = [("card", lo, hi) for lo, hi in cards]
+            for lo, hi in zip([start, *(h for _, h in cards)], [*(x for x, _ in cards), m.end()]):  # what else the run holds
+                for k, p in kinds:
+                    if k not in ("card", "name", "email", "secret", "key"):
+                        rest += [(k, x.start(), x.end()) for x in p.finditer(text, lo, hi) if x.end() <= hi]
+            out += sorted(rest, key=lambda x: x[1])
+        else:
+            out.append((kind, start, m.end()))
+        at = m.end()
+    return out
+
+
+def test_against_brute_force(docs_of):
+    """Every entity that plain search finds is replaced in its place, nothing else; equal values get equal surrogates in
+    every document, different ones different ones, and no surrogate is a value of the corpus."""
+    rng = random.Random(3)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+
+    def card():
+        body = "4" + digits(14)
+        return next(body + c for c in "0123456789" if luhn(body + c))
+
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8)))
+    pool = {
+        "email": [f"{word()}.{word()}@{d}.org" for d in (word(), word()) for _ in range(12)], "ip": [".".join(str(rng.randint(0, 255)) for _ in range(4)) for _ in range(20)],
+        "ssn": [f"{digits(3)}-{digits(2)}-{digits(4)}" for _ in range(20)], "card": [card() for _ in range(20)], "phone": [f"+49 {digits(3)} {digits(4)} {digits(3)}" for _ in range(20)],
+        "key": ["AKIA" + "".join(rng.choice("ABCDEFGHIJ234") for _ in range(16)) for _ in range(10)], "secret": [f"password={word()}{digits(8)}" for _ in range(10)],
+        "name": [f"{t} {g.title()} {n.title()}" for t in ("Mr", "Mrs") for g, n in ((word(), word()) for _ in range(10))],
+    }
+    rows = []
+    for i in range(80):
+        parts = []
+        for _ in range(rng.randint(1, 12)):
+            parts += [word() for _ in range(rng.randint(1, 5))]
+            if rng.random() < 0.6:
+                parts.append(rng.choice(pool[rng.choice(sorted(pool))]))
+                if rng.random() < 0.2:
+                    parts[-1] += rng.choice([" 12/26", " 123", "!"])
+        rows.append((i, " ".join(parts) + "."))
+    out = {r.doc_id: r for r in S.replace_entities(docs_of(rows), key="k").collect()}
+    new_of, old_of = defaultdict(set), defaultdict(set)
+    for i, text in rows:
+        found = brute_entities(text)
+        assert out[i].kinds == [k for k, _, _ in found], text
+        gaps = [text[a:b] for a, b in zip([0, *(e for _, _, e in found)], [*(s for _, s, _ in found), len(text)])]
+        m = re.fullmatch("(.+?)".join(map(re.escape, gaps)), out[i].text)
+        assert m, (text, out[i].text)
+        for (kind, a, b), new in zip(found, m.groups()):
+            new_of[kind, text[a:b]].add(new)
+            old_of[kind, new].add(text[a:b])
+    assert len(new_of) > 80 and all(len(x) == 1 for x in new_of.values()) and all(len(x) == 1 for x in old_of.values())
+    assert not {n for x in new_of.values() for n in x} & {old for _, old in new_of}
+    shape = lambda x: re.sub(r"[0-9]", "0", x)
+    assert all(shape(old) == shape(new) for (kind, old), (new,) in new_of.items() if kind in ("ssn", "card", "phone"))
+    assert all(luhn(new) for (kind, _), (new,) in new_of.items() if kind == "card")
