@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import secrets
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,6 +71,16 @@ _SCRIPTS = {"cyrillic": "IsCyrillic", "greek": "IsGreek", "arabic": "IsArabic",
 LONGER_AFTER = 8
 
 
+def may_hold(text: Column) -> Column:
+    """False for texts that no pattern can match, by plain searches: without digit or @, without a title, without AKIA and
+    the words before secrets. Most texts are such, and the patterns cost far more than these."""
+    titles = sorted(t for g in _TITLES.values() for t in g)
+    shortest = [t for t in titles if not any(t != u and t.startswith(u) for u in titles)]  # Mrs is found as Mr
+    low = F.array(F.lower(text))  # one element: made once for all words
+    words = F.exists(low, lambda x: x.contains("passw") | x.contains("secret") | x.contains("token") | x.contains("api_key"))
+    return text.rlike("[0-9@]") | reduce(lambda a, b: a | b, (text.contains(t) for t in shortest)) | text.contains("AKIA") | words
+
+
 def session_key(spark: SparkSession) -> str:
     """The secret key of the session's settings; where there is none, one drawn at random for this process."""
     return spark.conf.get(KEY_SETTING, "") or spark.sparkContext.getConf().get(KEY_SETTING, "") or _DRAWN
@@ -326,8 +337,9 @@ def _later_mentions(text: Column, pairs: Column) -> Column:
 def replace_entities(docs: DataFrame, key: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns, with surrogates in their texts, and n_entities (array kinds: the kinds, in order).
 
-    Texts are cut at their entities; the pieces between stay with the text, only the entities are exploded, looked up
-    and gathered again by document. The words of a document's names are then replaced wherever else they stand in it.
+    Texts that no pattern can match are told by plain searches and pass straight through, without a shuffle. The others
+    are cut at their entities; the pieces between stay with the text, only the entities are exploded, looked up and
+    gathered again by document. The words of a document's names are then replaced wherever else they stand in it.
     Equal rows are looked up once. ``key`` is a secret (None: that of the session, see ``session_key``). Tables of what
     was found in clear text are deleted before this returns; what is left holds surrogates and the words of names.
 
@@ -335,6 +347,9 @@ def replace_entities(docs: DataFrame, key: str | None = None, id_col: str = "doc
     read whole; columns named n_entities or kinds are replaced, other names do not clash.
     """
     rest = docs.drop("n_entities", "kinds")
+    columns = rest.columns
+    clean = rest.filter(~may_hold(text_or_empty(text_col))).withColumns({"n_entities": F.lit(0).cast("long"), "kinds": F.array().cast("array<string>")})
+    rest = rest.filter(may_hold(text_or_empty(text_col)))
     fp = F.xxhash64(text_or_empty(text_col))
     doc = F.col(id_col).cast("long")
     marked = mark_cards(text_or_empty(text_col))
@@ -347,16 +362,17 @@ def replace_entities(docs: DataFrame, key: str | None = None, id_col: str = "doc
     by_doc = materialize(looked_up.groupBy("_doc", "_fp").agg(F.sort_array(F.collect_list("x")).alias("_new")), "pii-by-document")
     free(found, kinds, replaced)
     own = rest.withColumns({"_id": doc, "_key": fp})
-    joined = own.join(by_doc, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_fp")), "left")
+    joined = own.join(by_doc.hint("merge"), F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_fp")), "left")
     pieces = F.split(mark_cards(F.col(text_col)), f"(?:{ANY})", -1)
     text = F.array_join(F.zip_with(pieces, F.concat(F.transform("_new", lambda x: x["new"]), F.array(F.lit(""))), lambda g, n: F.concat(g, n)), "")
     pairs = F.array_distinct(F.flatten(F.filter(F.transform("_new", lambda x: x["pairs"]), lambda p: p.isNotNull())))
     text = F.when(F.size(pairs) > 0, _later_mentions(text, pairs)).otherwise(text)
     known = F.filter(F.transform("_new", lambda x: x.kind), lambda k: k.isNotNull())
-    return joined.select(
-        *[F.when(F.col("_new").isNotNull(), text).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c) for c in rest.columns],
+    replaced = joined.select(
+        *[F.when(F.col("_new").isNotNull(), text).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c) for c in columns],
         F.coalesce(F.size(known), F.lit(0)).cast("long").alias("n_entities"), F.coalesce(known, F.array().cast("array<string>")).alias("kinds"),
     )
+    return replaced.unionByName(clean)
 
 
 def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

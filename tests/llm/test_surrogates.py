@@ -156,6 +156,14 @@ def test_long_texts_and_clashing_columns(docs_of):
     assert one == two != "55.63.178.142" and len(out[1].text) == len(long) - 2 * (len("55.63.178.142") - len(one))
 
 
+def test_texts_that_are_passed_over_match_no_pattern(spark, docs_of):
+    texts = [t for _, t in TEXTS if t] + ["plain words", "Mrs Smith", "Sra Pérez", "श्रीमती राम", "AKIAQCN" + "A" * 13, "My Token: abcdefgh", "no title Drive on, mister"]
+    held = [r.held for r in docs_of(list(enumerate(texts))).select(S.may_hold(F.col("text")).alias("held")).collect()]
+    for t, h in zip(texts, held):
+        assert h or not (regex.search(S.ANY, t) or regex.search(S._RUN, t))
+    assert held[-7:] == [False, True, True, True, True, True, True]
+
+
 def brute_cards(run):
     """[start, end) of what is covered by cards of whole groups of a run of digits, overlapping ones as one."""
     groups = [(m.start(), m.end()) for m in re.finditer(r"[0-9]+", run)]
