@@ -317,22 +317,44 @@ def prefix_groups(sets: DataFrame, threshold: float) -> DataFrame:
 def connected_components(links: DataFrame, label: str) -> DataFrame:
     """(node, root) for every node of the links (a, b); root is the smallest node of the component.
 
-    Each round gives a node the smallest root among its neighbours' and then that root's own root, which shortens
-    chains by half; tables are written out each round, so a lost executor costs one round at most.
+    Each round points a node at its smallest neighbour, then at that one's, and draws every link between what its ends
+    point at; links inside one point go, so a round works on what the one before left open. Tables are written out each
+    round, so a lost executor costs one round at most.
     """
     both = materialize(links.select("a", "b").union(links.select("b", "a")).distinct(), f"{label}-links")
-    roots = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("root")), f"{label}-roots")
+    roots = None
     while True:
-        near = both.join(roots.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        low = roots.select("node", "root").join(near, "node").select("node", "root", F.least("root", "near").alias("low"))
-        up = roots.select(F.col("node").alias("low"), F.col("root").alias("up"))
-        moved = materialize(low.join(up, "low").select("node", F.least("low", "up").alias("root"), (F.least("low", "up") < F.col("root")).alias("moved")), f"{label}-roots")
-        settled = moved.filter("moved").isEmpty()
-        free(roots)
-        if settled:
+        least = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("up"))
+        least = materialize(least, f"{label}-least")
+        above = least.select(F.col("node").alias("up"), F.col("up").alias("top"))
+        ups = materialize(least.join(above, "up").select("node", F.col("top").alias("up")), f"{label}-ups")
+        ends = both.join(ups.select(F.col("node").alias("a"), F.col("up").alias("from")), "a").join(ups.select(F.col("node").alias("b"), F.col("up").alias("to")), "b")
+        rest = materialize(ends.filter("from <> to").select(F.col("from").alias("a"), F.col("to").alias("b")).distinct(), f"{label}-links")
+        new = materialize(_composed(roots, ups), f"{label}-roots")
+        free(both, least, ups, *([roots] if roots is not None else []))
+        both, roots = rest, new
+        if both.isEmpty():
             free(both)
-            return moved
-        roots = moved
+            return roots
+
+
+def _composed(roots: DataFrame | None, found: DataFrame) -> DataFrame:
+    """(node, root): the roots by what their roots point at in ``found`` (node, up); without any, ``found`` itself."""
+    if roots is None:
+        return found.select("node", F.col("up").alias("root"))
+    higher = found.select(F.col("node").alias("root"), "up")
+    return roots.join(higher, "root", "left").select("node", F.coalesce("up", "root").alias("root"))
+
+
+def joined_components(roots: DataFrame, links: DataFrame, label: str) -> DataFrame:
+    """The components of ``roots`` after more links: only the links between different components are followed."""
+    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"_{c}"))
+    named = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+    found = connected_components(named.filter("a <> b").distinct(), label)
+    moved = _composed(roots, found.withColumnRenamed("root", "up"))
+    out = materialize(moved.unionByName(found.join(roots.select("node"), "node", "left_anti")), f"{label}-all-roots")
+    free(found, roots)
+    return out
 
 
 def _mixed(groups: DataFrame, roots: DataFrame, label: str) -> DataFrame:
@@ -436,14 +458,12 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
         small = again.filter(size)
         pairs = pairs.unionByName(_pairs(small, small, "a < b AND root_a <> root_b", threshold)).distinct()
         groups = groups.filter(f"NOT ({size})")
-    links = links.unionByName(verified(pairs, "near-links-1"))
-    free(open_, roots)
-    roots = connected_components(links, "near-1")
+    links = verified(pairs, "near-links-1")
+    free(open_)
+    roots = joined_components(roots, links, "near-1")
     if groups is not None:
         found = _blockwise(_mixed(groups, roots, "near-open-2"), sets, threshold)
-        links = links.unionByName(materialize(found, "near-links-2"))
-        free(roots)
-        roots = connected_components(links, "near-2")
+        roots = joined_components(roots, materialize(found, "near-links-2"), "near-2")
     free(sets)
 
     # A text's smallest id, then a class's, each a partial aggregate; hot texts and classes meet them in plain joins.

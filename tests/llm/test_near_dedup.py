@@ -185,3 +185,18 @@ def test_recall_of_planted_near_copies(docs_of):
     assert sum(found[a] == found[b] for a, b in pairs) >= 0.9 * len(pairs)
     assert Counter(found[1000 + i] for i in range(240)).most_common(1)[0][1] >= 0.9 * 240
     assert len({c for c in found.values()}) >= 120  # unrelated texts are left alone
+
+
+def test_components_join_over_chains_stars_and_later_links(spark):
+    node = lambda k: bytes([k])
+    chain = [(k, k + 1) for k in range(0, 20)]
+    star = [(60, k) for k in range(40, 60)]
+    pair = [(80, 81)]
+    table = lambda links: spark.createDataFrame([(node(a), node(b)) for a, b in links], "a binary, b binary")
+    found = N.connected_components(table(chain + star + pair), "test")
+    of = lambda df: {r.node[0]: r.root[0] for r in df.collect()}
+    want = {k: 0 for k in range(21)} | {k: 40 for k in range(40, 61)} | {80: 80, 81: 80}
+    assert of(found) == want
+    later = N.joined_components(found, table([(5, 81), (81, 90), (100, 101)]), "test")
+    assert of(later) == want | {80: 0, 81: 0, 90: 0, 100: 100, 101: 100}
+    assert of(N.connected_components(table([]), "test")) == {}
