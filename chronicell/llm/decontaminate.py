@@ -1,11 +1,14 @@
 r"""Benchmark decontamination: size-partitioned MinHash containment search (DataFrame functions only).
 
 A test item is found in a document when at least 0.8 of the item's distinct 5-word shingles occur in the document,
-however long the document is. Words are runs of letters and digits of the lower-cased text.
+however long the document is. An item of 1 to 4 words has one shingle, of all its words. Words are runs of letters and
+digits of the lower-cased text.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,13 +71,22 @@ def find_contaminated(docs: DataFrame, items: DataFrame, percent: int = THRESHOL
     every document's shingle hashes probe the items' sketches, within the size classes that the document can hold
     (it needs ``percent`` of the item's shingles itself). Then only the documents with a candidate are read again and
     their shingles compared with the items' as strings. Shuffled are hits, candidate texts and pairs; a document's
-    shingles are exploded where they are and meet the small side of the join there.
+    shingles are exploded where they are and meet the small side of the join there. Items of fewer than ``width`` words
+    are searched by shingles of their own width, with a pass over the documents for each width that occurs.
 
-    Null, empty and short texts (fewer than ``width`` words) have no shingles and are in no pair, as documents or as
-    items; null ids are kept as ids; tables without rows give no pairs; other columns are ignored.
+    Null and empty texts have no words and are in no pair, as documents or as items; null ids are kept as ids; tables
+    without rows give no pairs; other columns are ignored.
     """
     own = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text_or_empty()).alias("fp"), text_or_empty().alias("text"))
     tests = items.select(F.struct(F.col(item_id).alias("id"), F.xxhash64(text_or_empty()).alias("fp")).alias("item"), text_or_empty().alias("text")).distinct()
+    tests = materialize(tests.withColumn("_width", F.least(F.size(_words(F.col("text"))), F.lit(width))).filter("_width > 0"), "benchmark-items")
+    widths = sorted(r[0] for r in tests.select("_width").distinct().collect())  # at most ``width`` of them
+    found = [_find(own, tests.filter(F.col("_width") == w).drop("_width"), percent, w) for w in widths or [width]]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _find(own: DataFrame, tests: DataFrame, percent: int, width: int) -> DataFrame:
+    """The pairs of items that have at least ``width`` words, by shingles of that width."""
     sketches = materialize(item_sketches(with_shingle_hashes(tests, "_h", width), percent), "item-sketches")
     # explode_outer: for explode, the optimizer would add a filter on the array and evaluate the array twice.
     hashed = with_shingle_hashes(own, "_h", width).select("doc_id", "fp", F.size("_h").alias("_n"), F.explode_outer("_h").alias("h"))
@@ -102,13 +114,13 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def contamination_ctes(docs: str) -> str:
     """CTEs up to found(doc_id, text, item_id, n_shingles, n_found)."""
-    grams = f"list_distinct(list_transform(range(1, len(w) - {WIDTH - 2}), lambda i: array_to_string(w[i:i + {WIDTH - 1}], ' ')))"
+    grams = "list_distinct(list_transform(range(1, len(w) - width + 2), lambda i: array_to_string(w[i:i + width - 1], ' ')))"
     words = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')"
     return f"""
-doc_grams AS (SELECT doc_id, text, unnest({grams}) AS g FROM (SELECT DISTINCT doc_id, coalesce(text, '') AS text, {words} AS w FROM {docs})),
-item_lists AS (SELECT item_id, text, {grams} AS s FROM (SELECT DISTINCT item_id, coalesce(text, '') AS text, {words} AS w FROM benchmark)),
-item_grams AS (SELECT item_id, text AS item_text, len(s)::BIGINT AS n_shingles, unnest(s) AS g FROM item_lists),
-found AS (SELECT doc_id, text, item_id, n_shingles, count(*)::BIGINT AS n_found FROM doc_grams JOIN item_grams USING (g)
+item_lists AS (SELECT *, {grams} AS s FROM (SELECT *, least(len(w), {WIDTH}) AS width FROM (SELECT DISTINCT item_id, coalesce(text, '') AS text, {words} AS w FROM benchmark)) WHERE width > 0),
+item_grams AS (SELECT item_id, text AS item_text, width, len(s)::BIGINT AS n_shingles, unnest(s) AS g FROM item_lists),
+doc_grams AS (SELECT doc_id, text, width, unnest({grams}) AS g FROM (SELECT DISTINCT doc_id, coalesce(text, '') AS text, {words} AS w FROM {docs}), (SELECT DISTINCT width FROM item_lists)),
+found AS (SELECT doc_id, text, item_id, n_shingles, count(*)::BIGINT AS n_found FROM doc_grams JOIN item_grams USING (width, g)
   GROUP BY doc_id, text, item_id, item_text, n_shingles HAVING count(*) * 100 >= n_shingles * {THRESHOLD_PERCENT})"""
 
 

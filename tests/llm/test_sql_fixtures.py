@@ -21,7 +21,7 @@ ROWS = [
     (16, f"Before it. {ITEM.title()} and after, in a longer text of many words that go on and on."), (17, "eleven twelve. " + ITEM.replace("twelve", "dozen")), (18, "Éa ß ÑANDÚ ΑΒΓ 日本語 text text"), (19, "z#*$%&|<>!"),
     (20, " ".join(f"clean{i}" for i in range(80)) + ".\nMenu\nmore words follow here, as they should."), (20, "same id, another text that is long"), (21, "twin"), (21, "twin"), (22, " ".join(f"w{i}" for i in range(60)) + ".\nHome     about\nHome \t about\nPolítica de privacidad, aquí y allí."), (None, f"no id\n{LINE}"),
 ]
-ITEMS = [(1, ITEM), (2, "too short"), (3, None), (4, ""), (5, "one two three four five"), (6, ITEM), (7, "nothing of this is found anywhere in there")]
+ITEMS = [(1, ITEM), (2, "too short"), (3, None), (4, ""), (5, "one two three four five"), (6, ITEM), (7, "nothing of this is found anywhere in there"), (8, "Twin!"), (9, "words that go")]
 
 
 @pytest.fixture(scope="module")
