@@ -8,10 +8,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronicell.llm.base import SPACE, fewer_files, give_back_memory, materialize, shuffle_width, small_batches, table, text_or_empty
+from chronicell.llm.base import SPACE, give_back_memory, materialize, shuffle_width, small_batches, table, text_or_empty
 
 MIN_CHARS, MIN_DOCS = 20, 3
 _STRIP = SPACE.encode()
@@ -118,7 +118,7 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         maps, gone = [], []
         for n, places in zip(batch.column("n_lines").to_pylist(), batch.column("places").to_pylist()):
-            keep = np.ones(n, np.uint8)
+            keep = np.ones(max(places) + 8 & ~7 if n is None else n, np.uint8)  # whole bytes: what pads them must not say 0
             if places:
                 keep[places] = 0
             maps.append(zlib.compress(np.packbits(keep).tobytes(), 1))
@@ -132,6 +132,27 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("fp"), text.alias("text"))
 
 
+_BITMAPS = "doc_id bigint, fp bigint, n_lines bigint, n_dropped bigint, keep_bitmap binary"
+
+
+def _n_lines(text: str) -> Column:
+    return (F.octet_length(text) - F.octet_length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1).cast("long")
+
+
+def _dropped_places(keyed: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
+    """(_doc, _fp, places): the lines that go, of documents that lose any."""
+    small_batches(keyed.sparkSession)
+    found = materialize(keyed.mapInArrow(_occurrences(min_chars), _OCC_SQL), "line-hashes", narrow=False)
+    order = [F.col("h1"), F.col("h2"), F.col("doc_id").desc_nulls_last(), F.col("fp"), F.col("pos")]
+    ranged = found.repartitionByRange(shuffle_width(keyed.sparkSession), *order).sortWithinPartitions(*order)
+    marks = materialize(ranged.mapInArrow(_stream(min_docs), f"{_OCC_SQL}, open boolean"), "line-marks")
+    ends = marks.filter("open").select("h1", "h2", "doc_id")
+    known = ends.distinct().groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("largest")).filter(F.col("n_docs") >= min_docs)
+    late = marks.filter("open").join(F.broadcast(known), ["h1", "h2"]).filter(F.col("doc_id").isNull() | (F.col("doc_id") < F.col("largest")))
+    gone = marks.filter("NOT open").select("doc_id", "fp", "pos").unionByName(late.select("doc_id", "fp", "pos"))
+    return gone.groupBy("doc_id", "fp").agg(F.collect_set("pos").alias("places")).withColumnsRenamed({"doc_id": "_doc", "fp": "_fp"})
+
+
 def line_keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     r"""One row for each different (id, text): doc_id, fp, n_lines, n_dropped, keep_bitmap. No text is shuffled.
 
@@ -146,26 +167,18 @@ def line_keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     empty line, which stays. A null id counts as one document below all others. Repeated rows share one bitmap. An
     empty table gives none. Other columns are ignored.
     """
-    small_batches(docs.sparkSession)
     keyed = _keyed(docs, id_col, text_col)
-    found = materialize(fewer_files(keyed).mapInArrow(_occurrences(min_chars), _OCC_SQL), "line-hashes", narrow=False)
-    order = [F.col("h1"), F.col("h2"), F.col("doc_id").desc_nulls_last(), F.col("fp"), F.col("pos")]
-    ranged = found.repartitionByRange(shuffle_width(docs.sparkSession), *order).sortWithinPartitions(*order)
-    marks = materialize(ranged.mapInArrow(_stream(min_docs), f"{_OCC_SQL}, open boolean"), "line-marks")
-    ends = marks.filter("open").select("h1", "h2", "doc_id")
-    known = ends.distinct().groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("largest")).filter(F.col("n_docs") >= min_docs)
-    late = marks.filter("open").join(F.broadcast(known), ["h1", "h2"]).filter(F.col("doc_id").isNull() | (F.col("doc_id") < F.col("largest")))
-    gone = marks.filter("NOT open").select("doc_id", "fp", "pos").unionByName(late.select("doc_id", "fp", "pos"))
-    places = gone.groupBy("doc_id", "fp").agg(F.collect_set("pos").alias("places")).withColumnsRenamed({"doc_id": "_doc", "fp": "_fp"})
-    n_lines = (F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long")
-    sizes = keyed.select("doc_id", "fp", n_lines.alias("n_lines")).distinct()
+    places = _dropped_places(keyed, min_chars, min_docs)
+    sizes = keyed.select("doc_id", "fp", _n_lines("text").alias("n_lines")).distinct()
     joined = sizes.join(places, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("fp") == F.col("_fp")), "left")
-    return joined.select("doc_id", "fp", "n_lines", "places").mapInArrow(_bitmaps, "doc_id bigint, fp bigint, n_lines bigint, n_dropped bigint, keep_bitmap binary")
+    return joined.select("doc_id", "fp", "n_lines", "places").mapInArrow(_bitmaps, _BITMAPS)
 
 
 def _kept_text(text: bytes, n: int, bitmap: bytes) -> bytes:
-    keep = np.unpackbits(np.frombuffer(zlib.decompress(bitmap), np.uint8), count=n)
-    return b"\n".join(line for line, k in zip(text.split(b"\n"), keep.tolist()) if k)
+    """Lines after the bitmap's last bit stay."""
+    keep = np.unpackbits(np.frombuffer(zlib.decompress(bitmap), np.uint8))[:n].tolist()
+    lines = text.split(b"\n")
+    return b"\n".join([line for line, k in zip(lines, keep) if k] + lines[len(keep) :])
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,14 +194,17 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     r"""The documents with their bitmaps applied: all columns, text without the dropped lines, n_lines and n_dropped.
 
-    A null text stays null. A document may end up empty. Columns named n_lines or n_dropped are replaced.
+    A null text stays null. A document may end up empty. Columns named n_lines or n_dropped are replaced. Only documents
+    that lose lines have a bitmap (up to the last line that goes); texts meet them in a join by document, which is the
+    one shuffle of texts.
     """
-    maps = line_keep_bitmaps(docs, id_col, text_col, min_chars, min_docs).withColumnsRenamed({"doc_id": "_doc", "fp": "_fp", "n_lines": "_n", "n_dropped": "_d"})
+    lost = _dropped_places(_keyed(docs, id_col, text_col), min_chars, min_docs).select(F.col("_doc").alias("doc_id"), F.col("_fp").alias("fp"), F.lit(None).cast("long").alias("n_lines"), "places")
+    maps = materialize(lost.mapInArrow(_bitmaps, _BITMAPS), "line-bitmaps").select(F.col("doc_id").alias("_doc"), F.col("fp").alias("_fp"), F.col("n_dropped").alias("_d"), "keep_bitmap")
     rest = docs.drop("n_lines", "n_dropped")
     fp = F.xxhash64(text_or_empty(text_col))
     own = rest.withColumn("_had_text", F.col(text_col).isNotNull()).withColumn("_key", fp)
-    joined = own.join(maps, F.col(id_col).cast("long").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_fp")), "left")
-    joined = joined.select(*[F.col(c) for c in rest.columns if c != text_col], text_or_empty(text_col).alias("text"), "_had_text", F.col("_n").alias("n_lines"), F.col("_d").alias("n_dropped"), "keep_bitmap")
+    joined = own.join(maps.hint("merge"), F.col(id_col).cast("long").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_fp")), "left")
+    joined = joined.select(*[F.col(c) for c in rest.columns if c != text_col], text_or_empty(text_col).alias("text"), "_had_text", F.coalesce("_d", F.lit(0)).cast("long").alias("n_dropped"), "keep_bitmap").withColumn("n_lines", _n_lines("text"))
     out = joined.mapInArrow(_apply, joined.schema)
     text = F.when(F.col("_had_text"), F.col("text")).alias(text_col)
     return out.select(*[text if c == text_col else F.col(c) for c in rest.columns], "n_lines", "n_dropped")
