@@ -208,7 +208,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     One row for each row of ``docs``; repeated rows score alike. Null quality labels teach nothing; several labels of
     an id count as their mean. Null ids are scored and never learned from. Other columns are ignored.
     """
-    measured = materialize(document_statistics(docs), "document-statistics")
+    measured = materialize(document_statistics(docs), "document-statistics", narrow=False)
     taught = labels.filter(~is_held_out() & F.col("quality").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.avg("quality").alias("y"))
     train = materialize(measured.join(taught, "doc_id").select("x", F.col("y").cast("double")), "quality-training")
     scored = score(measured, fit(train))

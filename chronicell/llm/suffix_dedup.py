@@ -5,7 +5,8 @@ anchor: the leftmost of its K-byte strings of least hash, which depends on the w
 have equal anchors, at equal distance from the window's start, and the work falls apart by anchor:
 
 1. each run of windows with one anchor (a piece: the bytes of those windows) is described by the hashes of anchor and
-   content; anchors that occur once are dropped, equal pieces are settled by their first occurrence;
+   content, 48 bits each, its length and the anchor's place; anchors that occur once are dropped, pieces equal in all of
+   these are settled by their first occurrence;
 2. of the different pieces of one anchor, the suffixes that start at the anchor are put in order by deep-shallow
    sorting, the reversed prefixes before it likewise. With the common prefix lengths of neighbours in both orders, two
    pieces share the window at distance o when they are in one class of depth 100 - o in the first order and in one of
@@ -24,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronicell.llm.base import give_back_memory, materialize, shuffle_width, small_batches, table, text_or_empty
+from chronicell.llm.base import free, give_back_memory, materialize, shuffle_width, small_batches, table, text_or_empty
 from chronicell.llm.hashing import _BYTE, _Powers, mix
 
 WINDOW, ANCHOR = 100, 32
@@ -395,8 +396,11 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*rest, pa.array([len(o) + r for o, r, _ in out], pa.int64()), pa.array([r for _, r, _ in out], pa.int64()), pa.array([k for _, _, k in out], pa.int64()), pa.array([o for o, _, _ in out], pa.binary())], [*names, "n_bytes", "n_removed", "n_spans", "kept"])
 
 
-def _release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of stages whose result has been written out."""
+def _release(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete tables that have served, and let Spark's cleaner drop the shuffle files of stages whose result has been
+    written. The cleaner acts when the driver's heap is collected, which may not happen for half an hour; it drops only
+    shuffles that nothing can read any more, so a lost executor costs no more than without it."""
+    free(*tables)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
@@ -429,7 +433,7 @@ def remove_repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: s
     spans = [materialize(again.select("doc_id", "fp", F.col("s").alias("start"), stop), "suffix-copies")]
     sizes = firsts.groupBy("h").agg(F.count("*").alias("m")).filter("m > 1")
     different = materialize(firsts.join(sizes, "h").select("h", "n", "a", "first.*", "m"), "suffix-different")
-    _release(spark)
+    _release(spark, pieces, firsts)
     limit = min(HOT_MOST, max(HOT_LEAST, HOT_SHARE * different.count() // shuffle_width(spark)))
     for hot in (False, True):
         chosen = different.filter(F.col("m") > limit if hot else F.col("m") <= limit)
@@ -447,12 +451,12 @@ def remove_repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: s
             grouped = cut.withColumn("doc_order", F.col("doc_id")).repartition(shuffle_width(spark), "h").sortWithinPartitions("h")
             found = grouped.mapInArrow(_sort_groups, "doc_id bigint, fp bigint, start int, stop int")
         spans.append(materialize(found, "suffix-spans"))
-        _release(spark)
+        _release(spark, *([windows] if hot else []))
     every = spans[0]
     for more in spans[1:]:
         every = every.unionByName(more)
     by_doc = materialize(every.groupBy("doc_id", "fp").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans")), "suffix-removed")
-    _release(spark)
+    _release(spark, different, *spans)
     joined = own.join(by_doc, ["doc_id", "fp"], "left").select((F.col("_id") if has_null else F.col("doc_id")).alias("doc_id"), "text", "spans")
     return joined.mapInArrow(_remove, "doc_id bigint, text string, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 

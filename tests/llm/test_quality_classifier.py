@@ -55,6 +55,15 @@ def test_awkward_rows(spark, docs_of):
     assert {r.score for r in Q.score_documents(docs, labels.limit(0)).collect()} == {0.5}
 
 
+def test_clashing_columns(spark, docs_of):
+    docs = docs_of([(k, "fine words in a row. " * k) for k in range(6)])
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(6)], "doc_id bigint, quality int, toxic int")
+    plain = sorted(map(tuple, Q.score_documents(docs, labels).collect()))
+    odd = docs.selectExpr("*", "'x' AS x", "2 AS y", "3 AS score", "4 AS quality", "5 AS held_out", "6 AS predicted", "7 AS bucket")
+    more = labels.selectExpr("*", "'t' AS text", "9 AS y", "'x' AS x", "1 AS score")
+    assert sorted(map(tuple, Q.score_documents(odd, more).collect())) == plain
+
+
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="no tables")
 def test_held_out_accuracy(spark):
     rows = Q.op1_quality_classifier(spark, SMALL).join(table(spark, SMALL, "labels"), "doc_id").filter("held_out").collect()
