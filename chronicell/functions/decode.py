@@ -117,7 +117,7 @@ def _json_length(data: bytes, at: int) -> tuple[int, int]:
             return n, at
 
 
-def _packed_decimal(data: bytes) -> str:
+def packed_decimal(data: bytes) -> str:
     """Text of a decimal as the database packs it: precision, scale, then groups of 9 digits in 4 bytes, rests in fewer;
     the first bit is set for numbers of 0 and above, all bits of others are inverted."""
     precision, scale, body = data[0], data[1], bytearray(data[2:])
@@ -155,7 +155,7 @@ def _json_opaque(data: bytes, at: int) -> str:
     n, start = _json_length(data, at + 1)
     body = data[start : start + n]
     if kind == 246:
-        return _packed_decimal(body)
+        return packed_decimal(body)
     if kind in (7, 10, 11, 12):
         return _packed_time(kind, int.from_bytes(body[:8], "little", signed=True))
     return f"base64:type{kind}:{base64.b64encode(body).decode()}"

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Schemas that belong to the database itself.
+SYSTEM_SCHEMAS = ("information_schema", "mysql", "performance_schema", "sys")
 MIN_CHUNK, MAX_CHUNKS, LARGE_TABLE_BYTES = 10_000, 100_000, 512 * 1024 * 1024
 
 
@@ -35,4 +37,4 @@ def snapshot_inserts(rows: DataFrame, tbl: str, pk: list[str], ts_us: int) -> Da
 
 def schema_filter(schema_name: str):
     """User schemas only."""
-    return ~F.col(schema_name).isin("information_schema", "mysql", "performance_schema", "sys")
+    return ~F.col(schema_name).isin(*SYSTEM_SCHEMAS)

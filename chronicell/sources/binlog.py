@@ -1,7 +1,6 @@
 """Recorded raw events: schema, start positions, batch and stream readers.
 
-Recorded logs are JSON lines of one event each. Nothing here talks to a database; a live reader has to write the same
-lines (or the same schema in any format that Spark reads).
+Recorded logs are JSON lines of one event each, or the database's own binary files (``datasource``), with one schema.
 """
 
 from __future__ import annotations
@@ -25,9 +24,10 @@ def stream_log(spark: SparkSession, path: str, start: dict | None = None, files_
     return start_filter(spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", files_per_batch).json(path), start)
 
 
-def start_filter(events: DataFrame, start: dict | None = None) -> DataFrame:
+def start_filter(events: DataFrame, start: dict | None = None, fallback: bool = False) -> DataFrame:
     """``start``: {"gtid_set": "uuid:1-5,..."} leaves out the transactions in the set, {"file", "position"} what lies
-    up to there; an empty or missing checkpoint reads everything. A set comes before a file position."""
+    up to there; an empty or missing checkpoint reads everything. A set comes before a file position. A checkpoint that
+    has neither (its log is gone, say) is an error, or, with ``fallback``, reads what the log still holds."""
     if not start:
         return events
     if start.get("gtid_set"):
@@ -41,6 +41,8 @@ def start_filter(events: DataFrame, start: dict | None = None) -> DataFrame:
         return events.filter(~F.coalesce(done, F.lit(False)))
     if start.get("file") is not None and start.get("position") is not None:
         return events.filter(F.struct("file", "position") > F.struct(F.lit(start["file"]).alias("file"), F.lit(start["position"]).cast("long").alias("position")))
+    if fallback:
+        return events
     raise ValueError("a checkpoint needs a gtid_set, or a file and a position")
 
 
