@@ -33,6 +33,9 @@ IDF_UNIT, WORD_UNIT = 8, 1024
 #: Groups of at most so many texts compare every pair that is not in one class; larger ones go on as told below, in
 #: blocks of so many texts.
 SMALL_BUCKET, BLOCK = 32, 1000
+#: Turns in which the texts of a mixed bucket are compared with one of its largest class, before all is compared that is
+#: left: they change no result, but spare most of that work where a bucket is one large group of near copies.
+LEADERS = 3
 #: In the prefix filter, tokens in at least this share of the sets come last.
 OFTEN = 0.005
 _SLICE = 1 << 19  # bytes of text that are hashed at a time: the arrays then stay in a core's cache
@@ -375,19 +378,37 @@ def _pairs(left: DataFrame, right: DataFrame, condition: str, threshold: float =
     return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _leaders(open_: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of a mixed group's leader, any one of its largest class, another each turn, and its texts of other
+    classes."""
+    classes = open_.groupBy("key", "root").agg(F.count("*").alias("members"), F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("leader"))
+    best = classes.groupBy("key").agg(F.max(F.struct("members", "root", "leader")).alias("_best")).select("key", F.col("_best.root").alias("largest"), F.col("_best.leader").alias("a"))
+    return open_.join(best, "key").filter("root <> largest").select("a", F.col("node").alias("b")).distinct()
+
+
 def _compare(threshold: float):
     def run(query: pa.Table, block: pa.Table) -> pa.Table:
-        names, roots = block.column("node").to_pylist(), np.array(block.column("root").to_pylist(), object)
+        names, roots = block.column("node").to_pylist(), block.column("root").to_pylist()
         sets = [unpack(x) for x in block.column("packed").to_pylist()]
         total, shared = block.column("total").to_numpy(), block.column("shared").to_numpy()
+        joined: dict[bytes, bytes] = {}
+
+        def top(root: bytes) -> bytes:
+            while (up := joined.get(root)) is not None:
+                root = up
+            return root
+
         out = []
         for q in query.to_pylist():
-            own, linked = unpack(q["packed"]), {q["root"]}
-            able = (1 + threshold) * np.minimum(shared, q["shared"]) >= threshold * (total + q["total"]) - 1e-3
+            own, able = None, (1 + threshold) * np.minimum(shared, q["shared"]) >= threshold * (total + q["total"]) - 1e-3
             for k in np.flatnonzero(able).tolist():
-                if roots[k] not in linked and similar(own, sets[k], threshold):
+                a, b = top(q["root"]), top(roots[k])
+                if a == b:
+                    continue
+                own = own or unpack(q["packed"])
+                if similar(own, sets[k], threshold):
                     out.append((q["node"], names[k]))
-                    linked.add(roots[k])
+                    joined[max(a, b)] = min(a, b)
         return pa.table([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())], ["a", "b"])
 
     return run
@@ -395,8 +416,8 @@ def _compare(threshold: float):
 
 def _blockwise(open_: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Links between classes of large groups: the texts outside of a group's largest class, as queries, against all of
-    the group in blocks of BLOCK. Every pair of different classes has a side outside of the largest; one link to a class
-    is enough, so a query skips the rest of a class that it is linked to. Only links come out."""
+    the group in blocks of BLOCK. Every pair of different classes has a side outside of the largest. Classes that a block
+    has joined are one from then on, so a block gives fewer links than there are classes. Only links come out."""
     members = open_.groupBy("key", "root").agg(F.count("*").alias("members"))
     largest = members.groupBy("key").agg(F.max(F.struct("members", "root")).alias("_l")).select("key", F.col("_l.root").alias("largest"))
     full = open_.join(largest, "key").join(sets, "node").withColumn("_blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
@@ -411,8 +432,8 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """One row for each input row: doc_id, node (md5 of its text), class_id (smallest doc_id of its class), root.
 
     Candidates: ``bands`` bands of ``rows`` samples; two texts of similarity 0.8 share a band but for 1 case in 20,000.
-    Links: in every bucket the smallest text is compared with all others. A bucket that still holds several classes goes
-    on: of at most SMALL_BUCKET texts, all pairs not in one class are compared. The texts of larger mixed buckets (which
+    Links: in every bucket the smallest text is compared with all others, then, where several classes are left, texts
+    outside of the largest with some of it. A bucket that still holds several classes goes on: of at most SMALL_BUCKET texts, all pairs not in one class are compared. The texts of larger mixed buckets (which
     share a passage, say) are grouped anew by an exact prefix filter over their sets: two texts that are similar share
     one of the rare tokens that start both, and no more than what both do not have alone. Of those groups the small ones
     compare all pairs of different classes; in the large ones the texts outside of the largest class are queries against
@@ -447,6 +468,11 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     roots = connected_components(links, "near-0")
     open_ = _mixed(buckets.drop("leader"), roots, "near-open-0")
     free(buckets)
+    for turn in range(LEADERS):
+        roots = joined_components(roots, verified(_leaders(open_, turn), f"near-links-{turn}"), f"near-0{turn}")
+        left = _mixed(open_.drop("root"), roots, "near-open-0")
+        free(open_)
+        open_ = left
     size = f"n <= {SMALL_BUCKET}"
     small = open_.filter(size)
     pairs = _pairs(small, small, "a < b AND root_a <> root_b")
