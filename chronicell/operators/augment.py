@@ -100,6 +100,18 @@ def extract_rows(events: DataFrame, rows: str = "rows") -> DataFrame:
     ).drop("_row")
 
 
+def one_table(events: DataFrame, event: Sequence[str], tbl: str = "tbl") -> DataFrame:
+    """The rows of events, each of which has to be of one table; an event with rows of several is an error."""
+    by_event = Window.partitionBy(*event)
+    several = F.min(tbl).over(by_event) != F.max(tbl).over(by_event)
+    return events.withColumn(tbl, F.when(several, F.raise_error(F.lit("an event with rows of several tables")).cast("string")).otherwise(F.col(tbl)))
+
+
+def entry_of(values: Column, name: str) -> Column:
+    """The value of a name in a map, whatever the case of its letters; null where there is none."""
+    return F.get(F.map_values(F.map_filter(values, lambda k, v: F.lower(k) == name.lower())), F.lit(0))
+
+
 def named_values(values: Column, columns: Column) -> Column:
     """Positional values by their columns' names; a width that differs is an error (full row images are needed)."""
     checked = F.when(F.size(values) == F.size(columns), values).otherwise(F.raise_error(F.lit("row image and schema differ in width")).cast("array<string>"))

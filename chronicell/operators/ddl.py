@@ -63,6 +63,7 @@ class ColumnInfo:
     nullable: bool = True
     key: str = ""
     default: str | None = None
+    collation: str = "utf8"
 
 
 @dataclass
@@ -85,7 +86,8 @@ class SchemaState:
         if m := re.match(r"(?is)create\s+table\s+(if\s+not\s+exists\s+)?(\S+?)\s+like\s+(\S+)$", sql):
             return self._set(named(m[2]), self.tables.get(named(m[3]), ()), keep=bool(m[1]))
         if m := re.match(r"(?is)create\s+table\s+(if\s+not\s+exists\s+)?([^\s(]+)\s*\((.*)\)", sql):
-            return self._set(named(m[2]), _columns(m[3]), keep=bool(m[1]))
+            charset = re.search(r"(?i)(?:charset|character\s+set|collate)\s*=?\s*(\w+)", sql[m.end() :])
+            return self._set(named(m[2]), _columns(m[3], charset[1].lower() if charset else "utf8"), keep=bool(m[1]))
         if m := re.match(r"(?is)drop\s+table\s+(?:if\s+exists\s+)?(.*)", sql):
             return [x for t in m[1].split(",") for x in self._set(named(t.split()[0]), None)]
         if m := re.match(r"(?is)rename\s+table\s+(.*)", sql):
@@ -95,6 +97,26 @@ class SchemaState:
             return self._alter(named(m[1]), _split(m[2]), named)
         return []
 
+    def load(self, columns: Sequence[tuple[str, int, str, str, bool, str]]) -> SchemaState:
+        """Take tables as a catalog lists them: rows (table, ordinal, name, type, nullable, key)."""
+        for table in {c[0] for c in columns}:
+            own = sorted((c for c in columns if c[0] == table), key=lambda c: c[1])
+            self.tables[table] = tuple(ColumnInfo(name, kind, nullable, key) for _, _, name, kind, nullable, key in own)
+        return self
+
+    def names(self, db: str | None = None) -> list[str]:
+        """The tables, of one database or all."""
+        return sorted(t for t in self.tables if db is None or t.startswith(f"{db}."))
+
+    def columns(self, table: str) -> tuple[ColumnInfo, ...]:
+        """The columns of a table; a table that is not known is an error, before any of its rows is read."""
+        if table not in self.tables:
+            raise ValueError(f"no schema is known for {table}")
+        return self.tables[table]
+
+    def copy(self) -> SchemaState:
+        return SchemaState(dict(self.tables))
+
     def _alter(self, table: str, parts: list[str], named) -> list:
         columns, target = list(self.tables.get(table, ())), table
         for part in parts:
@@ -147,7 +169,7 @@ def _split(text: str) -> list[str]:
     return [*parts, text[start:].strip()]
 
 
-def _column(text: str) -> ColumnInfo:
+def _column(text: str, collation: str = "utf8") -> ColumnInfo:
     m = re.match(r"(?is)`?([^\s`]+)`?\s+([a-z]+(?:\s*\(.*?\))?(?:\s+unsigned)?)", text)
     if m is None:
         raise ValueError(f"no column definition: {text}")
@@ -157,7 +179,8 @@ def _column(text: str) -> ColumnInfo:
     primary = bool(re.search(r"(?i)primary\s+key", rest))
     # Lower case, but for what is quoted: members of enum and set types keep theirs.
     kind = re.sub(r"'(?:[^']|'')*'|[^']+", lambda x: x[0] if x[0].startswith("'") else x[0].lower(), m[2])
-    return ColumnInfo(m[1], kind, not (primary or re.search(r"(?i)not\s+null", rest)), "PRI" if primary else "", value)
+    charset = re.search(r"(?i)(?:charset|character\s+set|collate)\s+(\w+)", rest)
+    return ColumnInfo(m[1], kind, not (primary or re.search(r"(?i)not\s+null", rest)), "PRI" if primary else "", value, charset[1].lower() if charset else collation)
 
 
 _KEYS = r"(?i)(unique|key|index|constraint|foreign|fulltext|spatial|check|partition)\b"
@@ -169,13 +192,13 @@ def _with_primary(columns: Sequence[ColumnInfo], names: str) -> list[ColumnInfo]
     return [replace(c, key="PRI", nullable=False) if c.name in primary else c for c in columns]
 
 
-def _columns(body: str) -> tuple[ColumnInfo, ...]:
+def _columns(body: str, collation: str = "utf8") -> tuple[ColumnInfo, ...]:
     columns, primary = [], ""
     for part in _split(body):
         if m := re.match(_PRIMARY, part):
             primary = m[1]
         elif not re.match(_KEYS, part):
-            columns.append(_column(part))
+            columns.append(_column(part, collation))
     return tuple(_with_primary(columns, primary))
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronicell.operators.resume import safe_gtid_set
@@ -32,6 +32,31 @@ def load(spark: SparkSession, path: str) -> dict | None:
     return json.loads(rows[0].value) if rows else None
 
 
+def last_of(events: DataFrame) -> dict | None:
+    """The checkpoint after all of these raw events (file, position, ts_ms, gtid); None where there are none."""
+    last = events.agg(F.max(F.struct("file", "position", "ts_ms")).alias("at"), F.max_by("gtid", F.when(F.col("gtid").isNotNull(), F.struct("file", "position"))).alias("gtid")).first()
+    return None if last.at is None else {"timestamp": last.at.ts_ms, "gtid": last.gtid, "file": last.at.file, "position": last.at.position}
+
+
+def executed_set(events: DataFrame) -> str:
+    """The set of all transaction ids (gtid) of these events as text: intervals by server, in order."""
+    ids = events.select(F.substring_index("gtid", ":", 1).alias("s"), F.substring_index("gtid", ":", -1).cast("long").alias("n")).filter("n IS NOT NULL").distinct()
+    island = F.col("n") - F.row_number().over(Window.partitionBy("s").orderBy("n"))
+    spans = ids.withColumn("_i", island).groupBy("s", "_i").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    texts = spans.groupBy("s").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("lo", "hi"))), lambda x: F.concat_ws("-", x["lo"], x["hi"])), ":").alias("t"))
+    return ",".join(f"{r.s}:{r.t}" for r in texts.orderBy("s").collect())  # one row for each server
+
+
+def writer(spark: SparkSession, path: str):
+    """For ``Flow.post``: after each batch, the checkpoint that all of its tasks' reports (gtid_set, timestamp) allow."""
+
+    def post(reported: DataFrame) -> None:
+        if found := safe_checkpoint(reported):
+            save(spark, path, found)
+
+    return post
+
+
 def resolve(override_file: tuple[str, int] | None = None, override_gtid_set: str | None = None, stored: dict | None = None, default: dict | None = None) -> dict | None:
     """What a run starts from: an override by log position, then one by GTID set, then the stored, then the default."""
     if override_file is not None:

@@ -135,6 +135,22 @@ def event_header(changes: DataFrame) -> Column:
     )
 
 
+def event_json(changes: DataFrame, pretty: bool = False) -> Column:
+    """An event's header and data in one document."""
+    data = F.struct(F.col("op").alias("eventType"), F.col("before"), F.col("after"))
+    return F.to_json(F.struct(event_header(changes).alias("header"), data.alias("data")), _NULLS | ({"pretty": "true"} if pretty else {}))
+
+
+def message_key(changes: DataFrame) -> Column:
+    """A typed key: table, database, kind and time."""
+    return F.struct(F.col("tbl").alias("tableName"), _column(changes, "db", "string").alias("databaseName"), F.col("op").alias("eventType"), F.col("commit_ts_ms").alias("timestamp"))
+
+
+def opaque_message(events: DataFrame, data: str = "data") -> DataFrame:
+    """Events whose bytes are passed on as they are: no key, the bytes as value."""
+    return events.select(F.lit(None).cast("string").alias("key"), F.col(data).cast("binary").alias("value"))
+
+
 def row_values(changes: DataFrame) -> Column:
     """JSON of a row's values: those written, of an update before (b) and after (a) of each column, of a delete the last."""
     both = F.transform_values("after", lambda k, v: F.struct(F.try_element_at("before", k).alias("b"), v.alias("a")))
@@ -274,7 +290,7 @@ def write_messages(messages: DataFrame, path: str | None = None, **options: str)
     try:
         writer.save()
     except Exception as e:
-        if "kafka" in str(e).lower() and "find data source" in str(e).lower():
+        if "failed to find" in str(e).lower():
             raise RuntimeError("the KAFKA sink needs Spark's module spark-sql-kafka on the class path") from e
         raise
 
