@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronicell.llm.base import materialize
+from chronicell.llm.base import free, materialize
 from chronicell.llm.byte_bpe import RANKS, encode_and_decode
 from chronicell.llm.decontaminate import drop_contaminated
 from chronicell.llm.line_dedup import drop_repeated_lines
@@ -65,7 +65,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}", narrow=False)
+        free(*before)  # what the stage read has served, now that its result is written
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
