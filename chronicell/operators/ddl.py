@@ -6,7 +6,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The statement patterns, in the order in which they are tried (the first that is found wins).
@@ -336,6 +336,6 @@ def bootstrap(columns: DataFrame) -> DataFrame:
 
 
 def columns_before(history: DataFrame) -> DataFrame:
-    """(position, tbl, before, after): the state that each change found, by position within the table."""
-    by_table = Window.partitionBy("tbl").orderBy("position")
-    return history.select("position", "tbl", F.lag("after").over(by_table).alias("before"), "after")
+    """(position, tbl, before, after): the columns that each change found and left; no before for a new table, no after
+    for one that goes. The history has them as the interpreter went, also where a statement changes a table twice."""
+    return history.select("position", "tbl", "before", "after")

@@ -153,5 +153,5 @@ PLANS = {
         f"""SELECT query, schema, compatible AS "isCompatibleSchemaChange" FROM (VALUES ({_text(DDL_LOG[1])}, {_text(_avro('double_as_text'))}, true), ({_text(DDL_LOG[2])}, {_text(_avro('with_dates'))}, true), ({_text(DDL_LOG[3])}, NULL, false)) v(query, schema, compatible)""",
     ),
     "schema_history_cells": (schema_history_cells, f"SELECT 'meta:shop_schema_history' AS tbl, ts::VARCHAR AS row_key, q AS qualifier, ts::BIGINT * 1000 AS ts_us, v AS value FROM (VALUES {_CELL_ROWS}) c(ts, q, v)"),
-    "schema_before_after": (schema_before_after, None),
+    "schema_before_after": (schema_before_after, f"SELECT position, tbl, before, after FROM (VALUES {_ROWS}) v(position, sql, tbl, before, after)"),
 }
