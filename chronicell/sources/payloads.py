@@ -241,14 +241,14 @@ def avro_column(record: Column, schema: str) -> Column:
 _SPARK_TYPES = {"int": "int", "long": "bigint", "float": "float", "double": "double", "string": "string"}
 
 
-def avro_message(changes: DataFrame, partition: Column, db: str, table: str, columns: Sequence[tuple[str, str, str | None]], registry: SchemaRegistry) -> DataFrame:
+def avro_message(changes: DataFrame, partition: Column, db: str, table: str, columns: Sequence[tuple[str, str, str | None]], registry: SchemaRegistry, prefix: str = "bigdata") -> DataFrame:
     """(position, key, value, partition, headers): one record for each row; the value is a zero byte, the schema's id in
     four bytes and the record in Avro's binary form; the header ``meta`` names table and time.
 
     The schema is registered under the table's subject. All changes are of one table.
     """
     text = avro_schema(db, table, columns, meta=True)
-    wire = b"\0" + registry.register(f"bigdata-{db}-{table}-value", text).to_bytes(4, "big")
+    wire = b"\0" + registry.register(f"{prefix}-{db}-{table}-value", text).to_bytes(4, "big")
     image = F.coalesce("after", "before")
     own = [F.try_element_at(image, F.lit(n)).cast(_SPARK_TYPES[avro_type(t)]).alias(n) for n, t, _ in columns]
     meta = [F.col("commit_ts_ms").cast("long").alias("__timestamp"), (F.col("op") == "DELETE").cast("int").alias("__is_deleted"), F.col("position").cast("long").alias("__binlog_position")]
