@@ -31,8 +31,8 @@ _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Widths of the trees that are merged together; longer pieces get a tree of their own.
 _WIDTHS = (8, 16, 32, 64)
 _NONE = np.int32(1 << 30)
-#: Most pieces whose ids a Python worker remembers, and bytes of text that it encodes at a time.
-CACHE_PIECES, SLICE_BYTES = 400_000, 1_000_000
+#: Most pieces, and characters of pieces, whose ids a Python worker remembers, and bytes of text that it encodes at a time.
+CACHE_PIECES, CACHE_CHARS, SLICE_BYTES = 400_000, 16_000_000, 1_000_000
 
 
 # Ranges of letters and numbers that are younger than the Unicode version of the encoders in use, which
@@ -219,7 +219,7 @@ class Encoder:
         self.place: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, np.int32)
         self.start, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-        self.used = 0
+        self.used = self.chars = 0
 
     def _learn(self, pieces: list[str]) -> None:
         found = merge_pieces([p.encode() for p in pieces], self.vocab)
@@ -235,13 +235,14 @@ class Encoder:
         self.count[at:end] = lens
         self.start[at:end] = self.used + np.cumsum(lens) - lens
         self.used = ids_end
+        self.chars += sum(map(len, pieces))
         self.place.update(zip(pieces, range(at, end)))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, number of ids of each text)."""
         split = [self.find(t) for t in texts]
         pieces = [p for s in split for p in s]
-        if len(self.place) > CACHE_PIECES:
+        if len(self.place) > CACHE_PIECES or self.chars > CACHE_CHARS:
             self.forget()
         if new := [p for p in dict.fromkeys(pieces) if p not in self.place]:
             self._learn(new)

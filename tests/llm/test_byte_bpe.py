@@ -61,3 +61,24 @@ def test_one_and_many_agree():
     for p, n in zip(pieces, counts):
         assert ids[at : at + n].tolist() == B.merge_one(p, vocab)
         at += n
+
+
+def test_every_range_of_younger_letters_is_that_of_the_library(library):
+    """At both ends of each range, just outside of it, and at random places, alone and beside letters and digits."""
+    rng = random.Random(9)
+    points = {c for a, b in B._YOUNGER for c in (a - 1, a, (a + b) // 2, b, b + 1)} | {rng.randrange(0x80, 0x110000) for _ in range(3000)}
+    texts = [f"a{c}b1{c} {c}{c}x" for c in (chr(c) for c in sorted(points) if not 0xD800 <= c <= 0xDFFF)]
+    own = B.Encoder(PATH, public_tokenizers.PATTERN)
+    ids, counts = own.encode(texts)
+    at = 0
+    for t, n in zip(texts, counts.tolist()):
+        assert ids[at : at + n].tolist() == library.encode_ordinary(t), [hex(ord(c)) for c in t]
+        at += n
+
+
+def test_long_pieces_do_not_stay(monkeypatch, library):
+    monkeypatch.setattr(B, "CACHE_CHARS", 1000)
+    own = B.Encoder(PATH, public_tokenizers.PATTERN)
+    for k in range(20):
+        text = "x" * (900 + k)
+        assert own.encode([text])[0].tolist() == library.encode_ordinary(text) and own.chars < 2000
