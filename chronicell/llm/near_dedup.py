@@ -351,6 +351,8 @@ def _composed(roots: DataFrame | None, found: DataFrame) -> DataFrame:
 
 def joined_components(roots: DataFrame, links: DataFrame, label: str) -> DataFrame:
     """The components of ``roots`` after more links: only the links between different components are followed."""
+    if links.isEmpty():
+        return roots
     of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"_{c}"))
     named = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
     found = connected_components(named.filter("a <> b").distinct(), label)
@@ -361,10 +363,13 @@ def joined_components(roots: DataFrame, links: DataFrame, label: str) -> DataFra
 
 
 def _mixed(groups: DataFrame, roots: DataFrame, label: str) -> DataFrame:
-    """The groups that hold several classes, with the root of each text."""
-    classed = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = classed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    return materialize(classed.join(mixed, "key"), label)
+    """The groups that hold several classes, with the root of each text. Which ones do is written first: the join with
+    it is then a plain one, in which hot groups are split."""
+    classed = groups.join(roots.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = materialize(classed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key"), f"{label}-keys")
+    out = materialize(classed.join(mixed, "key"), label)
+    free(mixed)
+    return out
 
 
 def _pairs(left: DataFrame, right: DataFrame, condition: str, threshold: float = 0.0) -> DataFrame:
@@ -383,6 +388,7 @@ def _leaders(open_: DataFrame, turn: int) -> DataFrame:
     classes."""
     classes = open_.groupBy("key", "root").agg(F.count("*").alias("members"), F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("leader"))
     best = classes.groupBy("key").agg(F.max(F.struct("members", "root", "leader")).alias("_best")).select("key", F.col("_best.root").alias("largest"), F.col("_best.leader").alias("a"))
+    best = materialize(best, "near-leaders")
     return open_.join(best, "key").filter("root <> largest").select("a", F.col("node").alias("b")).distinct()
 
 
@@ -420,7 +426,7 @@ def _blockwise(open_: DataFrame, sets: DataFrame, threshold: float) -> DataFrame
     has joined are one from then on, so a block gives fewer links than there are classes. Only links come out."""
     members = open_.groupBy("key", "root").agg(F.count("*").alias("members"))
     largest = members.groupBy("key").agg(F.max(F.struct("members", "root")).alias("_l")).select("key", F.col("_l.root").alias("largest"))
-    full = open_.join(largest, "key").join(sets, "node").withColumn("_blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    full = open_.join(materialize(largest, "near-largest"), "key").join(sets, "node").withColumn("_blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     full = materialize(full, "near-open-sets")
     cols = ["key", "block", "node", "root", "total", "shared", "packed"]
     queries = full.filter("root <> largest").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select(*cols)
@@ -469,6 +475,8 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     open_ = _mixed(buckets.drop("leader"), roots, "near-open-0")
     free(buckets)
     for turn in range(LEADERS):
+        if open_.isEmpty():
+            break
         roots = joined_components(roots, verified(_leaders(open_, turn), f"near-links-{turn}"), f"near-0{turn}")
         left = _mixed(open_.drop("root"), roots, "near-open-0")
         free(open_)
