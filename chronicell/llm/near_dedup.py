@@ -33,7 +33,7 @@ IDF_UNIT, WORD_UNIT = 8, 1024
 #: Groups of at most so many texts compare every pair that is not in one class; larger ones go on as told below, in
 #: blocks of so many texts.
 SMALL_BUCKET, BLOCK = 32, 1000
-#: Turns in which the texts of a mixed bucket are compared with one of its largest class, before all is compared that is
+#: Turns in which the texts of a large mixed bucket are compared with one of its largest class, before all is compared that is
 #: left: they change no result, but spare most of that work where a bucket is one large group of near copies.
 LEADERS = 3
 #: In the prefix filter, tokens in at least this share of the sets come last.
@@ -474,14 +474,15 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     roots = connected_components(links, "near-0")
     open_ = _mixed(buckets.drop("leader"), roots, "near-open-0")
     free(buckets)
+    size = f"n <= {SMALL_BUCKET}"
     for turn in range(LEADERS):
-        if open_.isEmpty():
+        crowds = open_.filter(f"NOT ({size})")
+        if crowds.isEmpty():
             break
-        roots = joined_components(roots, verified(_leaders(open_, turn), f"near-links-{turn}"), f"near-0{turn}")
+        roots = joined_components(roots, verified(_leaders(crowds, turn), f"near-links-{turn}"), f"near-0{turn}")
         left = _mixed(open_.drop("root"), roots, "near-open-0")
         free(open_)
         open_ = left
-    size = f"n <= {SMALL_BUCKET}"
     small = open_.filter(size)
     pairs = _pairs(small, small, "a < b AND root_a <> root_b")
     large = open_.filter(f"NOT ({size})").select("node").distinct()
